@@ -1,0 +1,26 @@
+"""Queries over exact duplicates."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstack.operators import dedup
+from quillstack.session import table
+
+
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+    return dedup.mark_exact(docs, ["digest"], [F.length("source"), F.col("doc_id")], "doc_id").select(
+        "doc_id", "digest", "canonical_id", "is_duplicate"
+    )
+
+
+QUERIES = {"exact_dedup": exact_dedup}
+ORACLES = {
+    "exact_dedup": """
+        WITH d AS (SELECT doc_id, source, sha256(text) AS digest FROM documents),
+        c AS (SELECT digest, arg_min(doc_id, (length(source), doc_id)) AS canonical_id FROM d GROUP BY digest)
+        SELECT d.doc_id, d.digest, c.canonical_id, d.doc_id <> c.canonical_id AS is_duplicate
+        FROM d JOIN c USING (digest)""",
+}
