@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.llm import html_extract, url_filters
+from quillstack.llm import bpe, fingerprints, html_extract, packing, secret_scans, url_filters
 from quillstack.llm.common import load
 
+#: Where the public tokenizers lie; parameters of the operators.
+PACKING = {
+    "tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN
+}
+BPE = {"ranks": public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(load(spark, sf_dir, "pages"))
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(load(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), **PACKING).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages share the ids of documents; a page is bad if its label says low quality or toxic."""
     outcomes = load(spark, sf_dir, "labels").select(
@@ -21,5 +38,16 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(load(spark, sf_dir, "pages"), outcomes)
 
 
-QUERIES = {"op1_html_extraction": op1_html_extraction, "op4_url_filters": op4_url_filters}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(load(spark, sf_dir, "documents"), **BPE)
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op7_bpe, op10_fingerprints)
+}
 ORACLES: dict[str, str] = {}
