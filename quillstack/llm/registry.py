@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.llm import bpe, fingerprints, html_extract, packing, secret_scans, url_filters
-from quillstack.llm.common import load
+from quillstack.llm import bpe, fingerprints, html_extract, jaccard_join, packing, quality_rules, secret_scans, sharding, url_filters
+from quillstack.llm.common import load, materialize
 
 #: Where the public tokenizers lie; parameters of the operators.
 PACKING = {
@@ -38,16 +38,35 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(load(spark, sf_dir, "pages"), outcomes)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of nearly equal bytes; a k-d tree has no law for one more shard, so grown_shard is null."""
+    return sharding.shards(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    scored = materialize(quality_rules.score(docs).drop("text"), "scores")
+    return quality_rules.judge(scored, quality_rules.cutoffs(scored, labels)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(load(spark, sf_dir, "documents"), **BPE)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(load(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(load(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op7_bpe, op10_fingerprints)
+    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op9_jaccard_join, op10_fingerprints)
 }
 ORACLES: dict[str, str] = {}
