@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from quillstack.llm.common import materialize
 
 WINDOW = 1024
-#: Remainders packed together; at 4 bytes an id a group stays under about 32 MB.
-GROUP = 8192
+#: Remainders packed together; at 4 bytes an id a group stays under about 16 MB.
+GROUP = 4096
 #: Gaps of at least this many tokens are closed by cutting a piece from the emptiest windows.
 LEAST_CUT = 32
 #: Texts in other scripts, or with huge blanks, are left to the slower reference tokenizer.
@@ -136,11 +136,12 @@ def _cut(encoder_args: tuple, window: int):
                     rows.append((doc_id, start, len(part), len(ids), part.tobytes(), number))
                     number += 1
                 size += len(ids)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield _batch(rows)
                     rows, size = [], 0
             if rows:
                 yield _batch(rows)
+            pa.default_memory_pool().release_unused()
 
     return run
 
