@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.llm import bpe, fingerprints, html_extract, jaccard_join, packing, quality_rules, secret_scans, sharding, url_filters
+from quillstack.llm import bpe, fingerprints, html_extract, jaccard_join, line_dedup, packing, quality_rules, secret_scans, sharding, url_filters
 from quillstack.llm.common import load, materialize
 
 #: Where the public tokenizers lie; parameters of the operators.
@@ -57,6 +57,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(load(spark, sf_dir, "documents"), **BPE)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.lines(load(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(load(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -67,6 +71,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op9_jaccard_join, op10_fingerprints)
+    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op8_line_dedup, op9_jaccard_join, op10_fingerprints)
 }
 ORACLES: dict[str, str] = {}
