@@ -18,7 +18,7 @@ from quillstack.llm.registry import PACKING
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; cutoffs come from the labels."""
-    scored = quality_rules.score(docs)
+    scored = materialize(quality_rules.score(docs), "scored")
     fitted = quality_rules.cutoffs(scored, load(spark, sf_dir, "labels"))
     return quality_rules.judge(scored, fitted).where("kept").select(*docs.columns)
 
