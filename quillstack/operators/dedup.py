@@ -18,3 +18,10 @@ def mark_exact(df: DataFrame, keys: list[str], order: list[Column], id_col: str)
     joined = df.join(first, keys, "left")
     own = F.coalesce("canonical_id", F.col(id_col))
     return joined.withColumns({"canonical_id": own, "is_duplicate": ~own.eqNullSafe(F.col(id_col))})
+
+
+def by_cheap_key(df: DataFrame, cheap: list[str], costly: list[str], order: list[Column], id_col: str) -> DataFrame:
+    """Duplicates by cheap keys first, then by costly ones among the rows that share them: row and `kept_id`."""
+    shared = df.groupBy(*cheap).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    marked = mark_exact(df.join(shared, cheap, "left_semi"), [*cheap, *costly], order, id_col)
+    return marked.where("is_duplicate").withColumnRenamed("canonical_id", "kept_id")

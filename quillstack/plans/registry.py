@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillstack.plans import dedup
+from quillstack.plans import archive
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (dedup,):
+for _module in (archive,):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
