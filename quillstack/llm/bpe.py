@@ -2,10 +2,10 @@
 
 A partition's new words become rows (word, position, token). A recursive query
 joins neighbouring tokens with the merge table and contracts each word's
-leftmost pair of minimum rank until no pair is left. Where a rank can't be
-undercut by the token it makes, all its pairs in a word are contracted at once,
-left to right, with the same result in fewer rounds. Documents are then put
-together from their words in order, by ordered aggregation.
+leftmost pair of minimum rank until no pair is left. In long words, where a rank
+can't be undercut by the token it makes, all its pairs are contracted at once,
+left to right, with the same result in fewer rounds. Ordered aggregation gives
+a word's tokens; documents are put together from their words in order.
 """
 
 from __future__ import annotations
@@ -19,39 +19,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words that a worker remembers; beyond it the memory starts afresh. It affects no result.
-REMEMBERED = 600_000
+#: Words that a worker remembers; beyond it those not seen lately are forgotten. It affects no result.
+REMEMBERED = 800_000
 #: Words in one recursive query, and the length in bytes from which pairs in runs are contracted by turns.
-WORDS, LONG = 40_000, 64
+WORDS, LONG = 50_000, 48
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: The start: a row for each byte of each word. The end: the tokens of each word in order.
-HEAD = "WITH RECURSIVE t(w, pos, id, open) AS (SELECT w, pos, id, true FROM base UNION ALL "
-TAIL = ") SELECT w, list(id ORDER BY pos) AS ids FROM t WHERE NOT open GROUP BY w"
-#: A round for short words. `least` is the word's least (rank, position), `rank` that of the pair that starts at a row,
-#: `rank1` and `rank2` those of the two pairs before it. Of pairs that overlap in a run only the first is contracted.
+#: Short words: a round unfolds each open word to rows (word, position), joins neighbours with the merge table, and
+#: contracts the word's least (rank, position).
 SHORT = """
-  SELECT w, pos, CASE WHEN picked THEN (least >> 40)::INTEGER ELSE id END, least IS NOT NULL
+WITH RECURSIVE t(w, ids, open) AS (
+  SELECT w, list(id ORDER BY pos), true FROM base GROUP BY w
+  UNION ALL
+  SELECT w, CASE WHEN best IS NULL THEN ids ELSE list_concat(list_concat(list_slice(ids, 1, spot - 1), [best]), list_slice(ids, spot + 2, len(ids))) END, best IS NOT NULL
   FROM (
-    SELECT w, pos, id, least,
-           CASE WHEN c IS NULL THEN rank = least >> 40 AND rank1 IS DISTINCT FROM least >> 40 ELSE pos = least & 1099511627775 END AS picked,
-           CASE WHEN c IS NULL THEN rank1 = least >> 40 AND rank2 IS DISTINCT FROM least >> 40 ELSE lastpos = least & 1099511627775 END AS taken
-    FROM (
-      SELECT q.*, careful.id AS c
-      FROM (
-        SELECT p.*, m.id AS rank, m1.id AS rank1, m2.id AS rank2, min((m.id::BIGINT << 40) | p.pos) OVER (PARTITION BY p.w) AS least
-        FROM (
-          SELECT w, pos, id, lead(id) OVER s AS nxt, lag(id) OVER s AS last1, lag(id, 2) OVER s AS last2, lag(pos) OVER s AS lastpos
-          FROM t WHERE open WINDOW s AS (PARTITION BY w ORDER BY pos)
-        ) p
-        LEFT JOIN merges m ON m.l = p.id AND m.r = p.nxt
-        LEFT JOIN merges m1 ON m1.l = p.last1 AND m1.r = p.id
-        LEFT JOIN merges m2 ON m2.l = p.last2 AND m2.r = p.last1
-      ) q LEFT JOIN careful ON careful.id = q.least >> 40
-    )
-  ) WHERE NOT coalesce(taken, false)"""
-#: A round for long words: of pairs that overlap in a run every second is contracted.
+    SELECT p.w, any_value(p.ids) AS ids, min(m.id) AS best, arg_min(p.pos, (m.id::BIGINT << 40) | p.pos) FILTER (m.id IS NOT NULL) AS spot
+    FROM (SELECT w, ids, unnest(range(1, len(ids) + 1)) AS pos FROM t WHERE open) p
+    LEFT JOIN merges m ON m.l = p.ids[p.pos] AND m.r = p.ids[p.pos + 1]
+    GROUP BY p.w
+  )
+) SELECT w, ids FROM t WHERE NOT open"""
+#: Long words, as rows from the start: a round contracts all pairs of the least rank, but of those that overlap in a run
+#: every second; or the leftmost alone if the rank is a careful one.
 RUNS = """
+WITH RECURSIVE t(w, pos, id, open) AS (
+  SELECT w, pos, id, true FROM base
+  UNION ALL
   SELECT w, pos, CASE WHEN picked THEN (least >> 40)::INTEGER ELSE id END, least IS NOT NULL
   FROM (
     SELECT *, lag(picked) OVER (PARTITION BY w ORDER BY pos) AS taken
@@ -71,7 +64,8 @@ RUNS = """
         )
       )
     )
-  ) WHERE NOT coalesce(taken, false)"""
+  ) WHERE NOT coalesce(taken, false)
+) SELECT w, list(id ORDER BY pos) AS ids FROM t WHERE NOT open GROUP BY w"""
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -104,6 +98,7 @@ class Bpe:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.db.execute("CREATE TABLE careful AS SELECT * FROM careful")
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
 
     def contract(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word, by the recursive query."""
@@ -119,7 +114,7 @@ class Bpe:
                 base = pa.table({  # noqa: F841  read by name in the query
                     "w": np.repeat(part, n), "pos": np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n), "id": self.bytes[raw]
                 })
-                found = self.db.sql(HEAD + (RUNS if runs else SHORT) + TAIL).to_arrow_table() if len(raw) else None
+                found = self.db.sql(RUNS if runs else SHORT).to_arrow_table() if len(raw) else None
                 if found is not None:
                     for w, ids in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
                         out[w] = ids
@@ -127,12 +122,15 @@ class Bpe:
 
     def learn(self, words: set[str]) -> None:
         """Remembers the words' ids as text, their number and the bytes they decode to."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) + len(words) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         todo, raw = [], []
         for w in words:
             if w in self.known:
                 continue
+            if w in self.older:
+                self.known[w] = self.older[w]
+                continue
             b = w.encode()
             i = self.ranks.get(b)
             if i is None:
