@@ -151,5 +151,5 @@ def patch(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def before_after(before: DataFrame, after: DataFrame, key: str, passed: str) -> DataFrame:
     """Full outer comparison of two runs with a label for each change."""
     x = before.select(key, F.col(passed).alias("before")).join(after.select(key, F.col(passed).alias("after")), key, "full_outer")
-    label = F.when(F.col("before").isNull(), "new").when(F.col("after").isNull(), "gone").when(F.col("before") == F.col("after"), "same").when("after", "fixed").otherwise("broken")
+    label = F.when(F.col("before").isNull(), "new").when(F.col("after").isNull(), "gone").when(F.col("before") == F.col("after"), "same").when(F.col("after"), "fixed").otherwise("broken")
     return x.withColumn("change", label)

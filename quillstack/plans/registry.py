@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillstack.plans import archive
+from quillstack.plans import archive, linked
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (archive,):
+for _module in (archive, linked):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
