@@ -38,7 +38,7 @@ BUCKET, PACKED = 2_000_000, 1_000_000
 #: Keys (8 bytes each) that may be broadcast; with more, the same joins are shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Words that a worker remembers the hashes of. It affects no result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 EMPTY = np.zeros(0, np.uint64)

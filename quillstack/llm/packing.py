@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +36,9 @@ class Encoder:
         import base64
 
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(tokenizer)
-        self.fast = None
+        self.file = tokenizer
+        self.slow = self.fast = None
         if ranks:
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -48,6 +46,10 @@ class Encoder:
 
     def __call__(self, text: str) -> list[int]:
         if self.fast is None or OTHER.search(text):
+            if self.slow is None:  # it takes far more memory than the other
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_file(self.file)
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -152,20 +154,23 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((a, b, c, d, e, f), kinds, strict=True)], names=["doc_id", "start", "length", "doc_tokens", "ids", "piece_no"])
 
 
+PACKED = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
+
+
 def _pack(window: int, least: int):
-    def run(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values("piece_no", ignore_index=True)
-        group, lengths, starts = int(x["group"].iloc[0]), x["length"].tolist(), x["start"].tolist()
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("piece_no")
+        group, lengths, starts = key[0].as_py(), table.column("length").to_pylist(), table.column("start").to_pylist()
+        docs, tokens, raw = table.column("doc_id").to_pylist(), table.column("doc_tokens").to_pylist(), table.column("ids").to_pylist()
         windows = [[(i, 0, lengths[i]) for i in w] for w in best_fit_decreasing(lengths, window)]
         rows = []
         for k, w in enumerate(close_gaps(windows, window, least)):
             at = 0
             for item, start, length in w:
-                ids = x["ids"].iat[item][4 * start : 4 * (start + length)]
-                rows.append((x["doc_id"].iat[item], starts[item] + start, length, x["doc_tokens"].iat[item], ids, (group << 32 | k) * 2 + 1, at))
+                rows.append((docs[item], starts[item] + start, length, tokens[item], raw[item][4 * start : 4 * (start + length)], (group << 32 | k) * 2 + 1, at))
                 at += length
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"])
-        return out.astype({"doc_id": "Int64"})
+        names = [c.split()[0] for c in PACKED.split(", ")]
+        return pa.table({n: pa.array(x, pa.binary() if n == "ids" else pa.int64()) for n, x in zip(names, zip(*rows, strict=True), strict=True)})
 
     return run
 
@@ -187,7 +192,5 @@ def pack(
     )
     rest = pieces.where(F.col("length") < window)
     groups = max(1, -(-rest.count() // group))
-    packed = rest.withColumn("group", F.pmod(F.xxhash64("piece_no"), F.lit(groups))).groupBy("group").applyInPandas(
-        _pack(window, least_cut), "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
-    )
+    packed = rest.withColumn("group", F.pmod(F.xxhash64("piece_no"), F.lit(groups))).groupBy("group").applyInArrow(_pack(window, least_cut), PACKED)
     return full.unionByName(packed)
