@@ -3,7 +3,8 @@
 Labelled page outcomes are counted per host and shrunk through a chain of
 beta-binomial priors: suffix (`com`), registered domain (`example.com`), host
 (`www.example.com`). Each level's prior has the mean of the level above and a
-strength fitted by moments over all its members. A url is blocked if the
+strength fitted by moments over all its members, and never more than the
+evidence behind that mean. A url is blocked if the
 posterior bound says with the stated confidence that its bad share is above
 the limit, so a host without evidence is allowed.
 """
@@ -127,16 +128,20 @@ def host_reputation(
     hosts = materialize(hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    root = hosts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("root")).first().root
+    root = hosts.agg((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5).alias("bad"), (F.coalesce(F.sum("n"), F.lit(0)) + 1.0).alias("n")).first()
 
-    def shrink(level: DataFrame, mean: Column, out: str) -> DataFrame:
-        """Posterior mean of each member; the prior's strength `s` is one number for the level."""
+    def shrink(level: DataFrame, mean: Column, weight: Column, out: str) -> DataFrame:
+        """Posterior mean of each member, and the labelled pages that it stands for as `<out>_n`.
+
+        The prior's strength `s` is one number for the level, but no more than what its mean stands for.
+        """
         strength = float(level.agg(_strength(mean, least_strength, most_strength).alias("s")).first().s)
-        return level.withColumn("s", F.lit(strength)).withColumn(out, (F.col("bad") + F.col("s") * mean) / (F.col("n") + F.col("s")))
+        level = level.withColumn("s", F.least(F.lit(strength), weight))
+        return level.withColumns({f"{out}_mean": (F.col("bad") + F.col("s") * mean) / (F.col("n") + F.col("s")), f"{out}_n": F.col("n") + F.col("s")})
 
-    by_suffix = shrink(suffixes, F.lit(root), "suffix_mean").select("suffix", "suffix_mean")
-    by_domain = shrink(domains.join(by_suffix, "suffix"), F.col("suffix_mean"), "domain_mean").select("domain", "domain_mean")
-    by_host = shrink(hosts.join(by_domain, "domain"), F.col("domain_mean"), "mean")
+    by_suffix = shrink(suffixes, F.lit(root.bad / root.n), F.lit(float(root.n)), "suffix").select("suffix", "suffix_mean", "suffix_n")
+    by_domain = shrink(domains.join(by_suffix, "suffix"), F.col("suffix_mean"), F.col("suffix_n"), "domain").select("domain", "domain_mean", "domain_n")
+    by_host = shrink(hosts.join(by_domain, "domain"), F.col("domain_mean"), F.col("domain_n"), "host")
     s, m = F.col("s"), F.col("domain_mean")
     beta = by_host.select("host", "n", "bad", (F.col("bad") + s * m).alias("a"), (F.col("n") - F.col("bad") + s * (1 - m)).alias("b"))
     return beta.mapInPandas(_bounds(1 - confidence), "host string, n long, bad long, a double, b double, bad_low double")
