@@ -42,8 +42,7 @@ def cosine_topk(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: i
 
 def term_bags(df: DataFrame, key: str, fields: Mapping[str, Column], weights: Mapping[str, float] = FIELD_WEIGHTS) -> DataFrame:
     """(key, term, weight): terms of each field, weighted by the field and summed."""
-    parts = [F.transform(F.filter(F.split(F.lower(c), r"\W+"), lambda t: t != ""), lambda t, n=None: t) for c in fields.values()]
-    weighted = [F.transform(p, _pairer(weights[name])) for name, p in zip(fields, parts, strict=True)]
+    weighted = [F.transform(F.filter(F.split(F.lower(c), r"\W+"), lambda t: t != ""), _pairer(weights[name])) for name, c in fields.items()]
     return df.select(key, F.explode(F.concat(*weighted)).alias("t")).groupBy(key, "t.term").agg(F.sum("t.weight").alias("weight"))
 
 
