@@ -18,7 +18,7 @@ from quillstack.llm.registry import PACKING
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; cutoffs come from the labels."""
-    scored = materialize(quality_rules.score(docs), "scored")
+    scored = quality_rules.score(docs)
     fitted = quality_rules.cutoffs(scored, load(spark, sf_dir, "labels"))
     return quality_rules.judge(scored, fitted).where("kept").select(*docs.columns)
 
@@ -39,9 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; documents stay. n_chars is counted anew."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = secret_scans.scan(docs, keep=others, redacted=True)
-    return found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    held = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])  # their names may be those of results
+    found = secret_scans.scan(docs.select("doc_id", "text", held.alias("_held")), keep=["_held"], redacted=True)
+    changed = {"doc_id": F.col("doc_id"), "text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
+    return found.select(*[changed.get(c, F.col("_held").getField(c)).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

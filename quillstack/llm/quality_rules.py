@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstack.llm.common import materialize
+
 #: Limits of the base rules.
 LEAST_WORDS, MOST_REPEATED = 20, 30
 #: The white space between words, and the symbols that are counted.
@@ -36,12 +38,14 @@ def rules() -> dict[str, Column]:
     return {"symbols": share("n_symbols", "word_chars"), "dup_lines": share("n_dup_lines", "n_lines"), "repeats": share("n_repeat_words", "n_words")}
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), n_lines and base_failed.
 
     A null or empty text has no words, and fails. Repeated rows get equal
     counts. Columns of docs that have one of these names are replaced. All is
     a narrow map in the JVM: windows are compared by 64-bit hashes in one row.
+    The result is written, with or without the text, and read again; else the
+    optimizer would put the counts' expressions into every use of them.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -73,7 +77,8 @@ def score(docs: DataFrame) -> DataFrame:
     )
     d = d.withColumn("n_repeat_words", F.when(n > 0, covered).otherwise(0).cast("long")).drop("_sorted")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return d.withColumn("base_failed", failed)
+    d = d.withColumn("base_failed", failed)
+    return materialize(d if keep_text else d.drop("text"), "scores")
 
 
 def log_tail(n: Column, k: Column, risk: float) -> Column:

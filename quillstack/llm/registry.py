@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstack.llm import bpe, fingerprints, html_extract, jaccard_join, line_dedup, packing, quality_rules, secret_scans, sharding, url_filters
-from quillstack.llm.common import load, materialize
+from quillstack.llm.common import load
 
 #: Where the public tokenizers lie; parameters of the operators.
 PACKING = {
@@ -47,7 +47,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
-    scored = materialize(quality_rules.score(docs).drop("text"), "scores")
+    scored = quality_rules.score(docs, keep_text=False)
     return quality_rules.judge(scored, quality_rules.cutoffs(scored, labels)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
