@@ -25,6 +25,17 @@ DITTO = ("〃", "同上")
 # The number of a table or figure.
 NUMBER = r"\s*[0-9A-Z][0-9.\-]*"
 BLANKS = r"[\s　]+"
+# Where a blank is inside a date, time or quantity, and what takes its place.
+NUMBER_BLANKS = (
+    (r"(?<=\d)\s+(?=[年月日时分秒])", ""),
+    (r"(?<=[年月日时分秒])\s+(?=\d)", ""),
+    (r"(?<=\d)\s*:\s+(?=\d)", ":"),
+    (r"(?<=\d)\s+(?=[%℃°])", ""),
+    (r"(?<=\d)\s+(?=[米元方级人次台名处条款项次兆])", ""),
+)
+# Names of photos by time stamp, and endings that hold a page number, in the order they are tried.
+PHOTO_NAME = r"^微信图片[_\-]?\d{8,14}(?:[_\-]\d{1,4})*$"
+PAGE_ENDINGS = (r"[_-](\d{1,4})", r"第(\d{1,4})页", r"[（(](\d{1,4})[）)]", r"\s+(\d{1,4})", r"(\d{1,3})")
 
 
 def strip(c: Column) -> Column:
@@ -126,14 +137,7 @@ def table_numbers(content: Column, limit: int = 2000) -> Column:
 
 def despace_numbers(c: Column) -> Column:
     """Blanks inside dates, times and quantities removed; separate numbers are left apart."""
-    rules = (
-        (r"(?<=\d)\s+(?=[年月日时分秒])", ""),
-        (r"(?<=[年月日时分秒])\s+(?=\d)", ""),
-        (r"(?<=\d)\s*:\s+(?=\d)", ":"),
-        (r"(?<=\d)\s+(?=[%℃°])", ""),
-        (r"(?<=\d)\s+(?=[米元方级人次台名处条款项次兆])", ""),
-    )
-    for pattern, by in rules:
+    for pattern, by in NUMBER_BLANKS:
         c = F.regexp_replace(c, pattern, by)
     return c
 
@@ -208,9 +212,9 @@ def page_suffix(name: Column, parent: Column) -> Column:
     as page; else the first of five endings that leaves a base; else no page.
     """
     fallback = F.when(F.coalesce(parent, F.lit("")) == "", "扫描件").otherwise(parent)
-    stamp = name.rlike(r"^微信图片[_\-]?\d{8,14}(?:[_\-]\d{1,4})*$")
+    stamp = name.rlike(PHOTO_NAME)
     out = F.when(stamp | name.rlike(r"^\d+$"), F.struct(fallback.alias("base"), F.regexp_replace(name, r"\D", "").cast("decimal(38,0)").alias("page")))
-    for ending in (r"[_-](\d{1,4})", r"第(\d{1,4})页", r"[（(](\d{1,4})[）)]", r"\s+(\d{1,4})", r"(\d{1,3})"):
+    for ending in PAGE_ENDINGS:
         base = F.regexp_replace(F.regexp_extract(name, rf"^(.+?){ending}$", 1), r"[\s\-_]+$", "")
         out = out.when(base != "", F.struct(base.alias("base"), F.regexp_extract(name, rf"^(.+?){ending}$", 2).cast("decimal(38,0)").alias("page")))
     return out.otherwise(F.struct(name.alias("base"), F.lit(None).cast("decimal(38,0)").alias("page")))
@@ -347,6 +351,7 @@ def layout_issues(content: Column) -> Column:
     return F.array_compact(found)
 
 
+# Fixed value: what counts as a formula in LaTeX.
 FORMULA = r"\$[^$\n]+\$|\\frac|\\sum|\\times|\\sqrt|\\begin\{"
 
 
