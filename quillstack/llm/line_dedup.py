@@ -6,9 +6,10 @@ hash after exclusive-or with it: both are min-hashes, of one order and of its
 reverse. Each of the first BANDS pairs is a band; classes that agree in a band
 are candidates if their lengths and enough of their signatures agree. Candidates
 are compared with the most frequent class of their bucket; once those links are
-merged, those left over are compared with the most frequent class among them,
-and in buckets of up to SMALL classes every pair of different components is, so
-that a crowded bucket needs a comparison or two a line rather than one a pair.
+merged, those left over with the most frequent class among them, and so on while
+that merges enough. Then every pair of a bucket's classes that are still in
+different components is compared, crowded buckets by pairs of blocks; the rounds
+before only spare pairs whose ends are in one component by then.
 Exact Jaccard similarity of the two shingle sets decides. Links go to the
 distributed union-find; of each component the first line stays.
 """
@@ -28,10 +29,14 @@ from quillstack.llm.components import components
 SHINGLE, PERCENT, PERMUTATIONS, BANDS = 8, 80, 7, 4
 #: Values, of two a permutation, that must agree for a candidate; a pair of similarity 0.8 has fewer in 1 % of cases.
 AGREE = 8
-#: Classes in a bucket up to which all pairs are candidates.
-SMALL = 12
+#: Rounds of comparing with leaders, at most; they end when a bucket's row has no more than PAIRS_LEFT pairs on average.
+ROUNDS, PAIRS_LEFT = 6, 4
+#: Classes of a block of a crowded bucket.
+BLOCK = 256
 #: Keys (8 bytes each) that may be broadcast; with more, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Columns of a class of lines that comparisons need.
+CLASS = ("key", "shingles", "v0", "v1", "component")
 _random = Random(20)
 MASKS = [_random.getrandbits(64) - 2**63 for _ in range(PERMUTATIONS)]
 #: Seven lanes of a long, a byte each: the value 127 and the top bit.
@@ -90,6 +95,27 @@ def prefixed(df: DataFrame, prefix: str, *keep: str) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(prefix + c) for c in df.columns if c not in keep])
 
 
+def pairs_left(named: DataFrame) -> int:
+    """Pairs of classes of one bucket and different components."""
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    return int(sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("same"))).first()[0] or 0) // 2
+
+
+def in_blocks(named: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Every pair x, y of classes of one bucket and different components, once a bucket.
+
+    A bucket of more classes than a block is dealt to blocks by the hash of the
+    class, and its pairs to as many tasks as there are pairs of blocks.
+    """
+    dealt = named.withColumn("of", F.ceil(F.col("m") / block).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key"), F.col("of")).cast("int"))
+    x = dealt.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("of") - 1)))
+    y = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block"))))
+    x = prefixed(x.select("bucket", F.col("block").alias("i"), F.col("other").alias("j"), *CLASS), "x_", "bucket", "i", "j")
+    y = prefixed(y.select("bucket", F.col("other").alias("i"), F.col("block").alias("j"), *CLASS), "y_", "bucket", "i", "j")
+    return x.join(y, ["bucket", "i", "j"]).where("x_component <> y_component and (i < j or x_key < y_key)")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough, by exact Jaccard similarity.
 
@@ -119,6 +145,7 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     the one that is kept. Null and empty texts have no such lines. Repeated rows
     are told apart, and keep one line. Other columns are left out.
     """
+    spark = docs.sparkSession
     here = materialize(line_rows(docs).drop("line").withColumn("row", F.monotonically_increasing_id()), "occurrences")
     filled = here.where("key is not null")
     signed = signatures(line_rows(docs))
@@ -129,22 +156,29 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     posted = materialize(signed, "signatures").withColumn("bucket", F.explode("bands")).drop("bands")
     buckets = posted.groupBy("bucket").agg(F.count("*").alias("m"), F.max("rank").alias("top")).where("m > 1")
     met = materialize(posted.join(buckets.hint("shuffle_hash"), "bucket"), "buckets")
-    leads = prefixed(met.where("rank = top").drop("m", "top"), "y_", "bucket")
-    near = prefixed(met, "x_", "bucket").join(leads, "bucket").where((F.col("x_key") != F.col("y_key")) & alike("x_", "y_", percent, agree))
-    pairs = materialize(ordered(near), "pairs")
-    links = materialize(verified(pairs, docs, percent), "links")
-    named = met.join(components(links).withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    named = materialize(named, "named")
-    # those outside the first component with the most frequent of them; in small buckets with all others
-    left = named.join(named.where("rank = top").select("bucket", F.col("component").alias("first")), "bucket").where("component <> first")
-    second = left.groupBy("bucket").agg(F.max("rank").alias("next"))
-    left = left.join(second, "bucket").select("bucket", "key", "shingles", "v0", "v1", "component", (F.col("rank") == F.col("next")).alias("leads"))
-    more = prefixed(left.drop("leads"), "x_", "bucket").join(prefixed(left.where("leads").drop("leads"), "y_", "bucket"), "bucket").where("x_component <> y_component")
-    small = named.where(F.col("m") <= SMALL).select("bucket", "key", "shingles", "v0", "v1", "component")
-    every = prefixed(small, "x_", "bucket").join(prefixed(small, "y_", "bucket"), "bucket").where("x_key < y_key and x_component <> y_component")
-    more = ordered(more.where(alike("x_", "y_", percent, agree + 1)).unionByName(every.where(alike("x_", "y_", percent, agree + 1)))).join(pairs, ["a", "b"], "left_anti")
-    more = materialize(more, "pairs")
-    merged = components(links.unionByName(materialize(verified(more, docs, percent), "links")))
+    named = met.drop("top").withColumns({"component": F.col("key"), "led": F.lit(False)})
+    most = PAIRS_LEFT * met.count()
+    pairs = links = spark.createDataFrame([], "a long, b long")
+    for _ in range(ROUNDS):
+        # those in no component of an earlier leader with the most frequent of them
+        left = named.where("not led")
+        tops = left.groupBy("bucket").agg(F.max("rank").alias("top"), F.count("*").alias("n")).where("n > 1").drop("n")
+        left = left.join(tops.hint("shuffle_hash"), "bucket")
+        leads = prefixed(left.where("rank = top").select("bucket", *CLASS), "y_", "bucket")
+        near = prefixed(left.select("bucket", *CLASS), "x_", "bucket").join(leads, "bucket").where("x_component <> y_component")
+        new = materialize(ordered(near.where(alike("x_", "y_", percent, agree))).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        found = materialize(verified(new, docs, percent), "links")
+        pairs, links = pairs.unionByName(new), links.unionByName(found)
+        merged = components(links).withColumnRenamed("node", "key")
+        named = named.drop("component").join(merged, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        heads = named.where("not led").join(tops, "bucket").where("rank = top").groupBy("bucket").agg(F.min("component").alias("head"))
+        open_ = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        named = named.join(open_, "bucket").join(heads, "bucket", "left").withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("head"), F.lit(False)))
+        named = materialize(named.drop("head"), "named")
+        if pairs_left(named) <= most or found.isEmpty():
+            break
+    more = ordered(in_blocks(named).where(alike("x_", "y_", percent, agree))).join(pairs, ["a", "b"], "left_anti")
+    merged = components(links.unionByName(materialize(verified(materialize(more, "pairs"), docs, percent), "links")))
     # the first line of each class, then of each component of several classes
     first = filled.groupBy("key").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
     merged = merged.withColumnRenamed("node", "key")

@@ -47,6 +47,33 @@ def test_recall(spark):
     assert all(want[got[k]] == want[k] for k in got)
 
 
+def families(count, seed=5):
+    """Lines of one template, each of `count` variants 0.70 to 0.79 alike to the others, with a near copy."""
+    r = Random(seed)
+    some = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    template = some(400)
+    kinds = [template + some(60) for _ in range(count)]
+    return [(i, t) for i, t in enumerate(kinds)] + [(1000 + i, t[:-3] + some(3)) for i, t in enumerate(kinds)]
+
+
+def test_crowded(make):
+    """In buckets of many variants, each variant's near copies are found."""
+    rows = families(40)
+    want = firsts(rows)
+    assert len(set(want.values())) == 40
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in L.lines(make(rows)).collect()}
+    assert got == want
+
+
+def test_blocks(spark):
+    """Pairs by blocks are all pairs of a bucket's different components, once each."""
+    rows = [(b, k, 1, 0, 0, k // 3, 50) for b in (1, 2) for k in range(50)]
+    named = spark.createDataFrame(rows, "bucket long, key long, shingles int, v0 long, v1 long, component long, m long")
+    got = sorted((r.bucket, *sorted((r.x_key, r.y_key))) for r in L.in_blocks(named, 7).collect())
+    assert got == [(b, i, j) for b in (1, 2) for i in range(50) for j in range(i + 1, 50) if i // 3 != j // 3]
+    assert L.pairs_left(named) == len(got)
+
+
 def test_dedup(make):
     base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"
     near = base.replace("lazy", "lazi")
