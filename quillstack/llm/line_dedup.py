@@ -26,9 +26,10 @@ from quillstack.llm.common import materialize, partitions
 from quillstack.llm.components import components
 
 #: Characters (UTF-16 units) of a shingle, the similarity in percent, permutations and bands.
-SHINGLE, PERCENT, PERMUTATIONS, BANDS = 8, 80, 7, 4
-#: Values, of two a permutation, that must agree for a candidate; a pair of similarity 0.8 has fewer in 1 % of cases.
-AGREE = 8
+SHINGLE, PERCENT, PERMUTATIONS, BANDS = 8, 80, 7, 5
+#: Values, of two a permutation, that must agree for a candidate. At similarity 0.8, with values taken as independent, 0.2 % of
+#: pairs have fewer, and 0.6 % have no band in common.
+AGREE = 7
 #: Rounds of comparing with leaders, at most; they end when a bucket's row has no more than PAIRS_LEFT pairs on average.
 ROUNDS, PAIRS_LEFT = 6, 4
 #: Classes of a block of a crowded bucket.

@@ -47,6 +47,21 @@ def test_recall(spark):
     assert all(want[got[k]] == want[k] for k in got)
 
 
+def test_threshold(make):
+    """Of pairs of lines 0.80 to 0.85 alike, nearly all are found."""
+    r = Random(11)
+    some = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = []
+    while len(rows) < 2400:
+        a = some(200)
+        b = a[:180] + some(r.randint(10, 25))
+        s, t = shingles(a), shingles(b)
+        if 80 * len(s | t) <= 100 * len(s & t) < 85 * len(s | t):
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    got = {r.doc_id: r.first_doc_id for r in L.lines(make(rows)).collect()}
+    assert sum(got[i + 1] == i for i in range(0, len(rows), 2)) >= 0.99 * len(rows) / 2
+
+
 def families(count, seed=5):
     """Lines of one template, each of `count` variants 0.70 to 0.79 alike to the others, with a near copy."""
     r = Random(seed)
