@@ -199,16 +199,17 @@ def dedup(docs: DataFrame, **options: int) -> DataFrame:
     row is; blank lines, and documents with nothing else, stay as they are.
     """
     table = lines(docs, **options)
+    numbers = lambda which: F.collect_list(F.when(which, F.col("line_no").cast("int")))
+    # of a repeated row, a line is lost if no copy keeps it
     lost = table.groupBy("doc_id", "text_key").agg(
-        F.count_if("kept").alias("_left"), F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no").cast("int")))).alias("_lost")
-    ).where(F.size("_lost") > 0)
+        F.count_if("kept").alias("_left"), F.count_if(~F.col("kept")).alias("_n"), F.array_except(numbers(~F.col("kept")), numbers(F.col("kept"))).alias("_lost")
+    ).where("_n > 0").drop("_n")
     names = docs.columns
     keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.col("text").cast("string"))})
     joined = keyed.join(lost, keyed._doc.eqNullSafe(lost.doc_id) & (keyed._key == lost.text_key), "left").drop(lost.doc_id, lost.text_key)
     # a row of a repeated pair (doc_id, text) that isn't the first has no lines left
     turn = F.row_number().over(Window.partitionBy("_doc", "_key").orderBy(F.lit(0)))
     joined = joined.withColumn("_turn", turn).where(F.col("_lost").isNull() | ((F.col("_turn") == 1) & (F.col("_left") > 0)))
-    # lost line numbers are sorted: a line is cut if the number at its place among them is its own
     marks = F.transform(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), lambda i: i)
     kept = F.array_except(marks, F.col("_lost"))
     cut = F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))

@@ -97,6 +97,15 @@ def test_dedup(make):
     assert out == {1: (base + "\nunique one", len(base) + 11), 2: ("\nunique two", 11), 4: ("", 0), 5: (None, None), 6: ("tiny", 4)}
 
 
+def test_repeated_rows(make):
+    """Of equal rows one stays, with its text but for lines that no copy keeps."""
+    base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"
+    two = "tiny\n\n" + base + "\ntiny"
+    docs = make([(1, "another line of text here\nsecond"), (2, two), (2, two), (2, two), (3, None), (3, None), (None, "x y z\nof none"), (None, "x y z\nof none")])
+    out = sorted(((r.doc_id, r.text) for r in L.dedup(docs).collect()), key=str)
+    assert out == [(1, "another line of text here\nsecond"), (2, "tiny\n\n" + base), (3, None), (3, None), (None, "x y z\nof none")]
+
+
 def test_odd(odd, none):
     out = L.dedup(odd)
     assert out.columns == odd.columns
