@@ -3,9 +3,10 @@
 The standard library's parser streams events; block elements cut the page into
 lines. Each line has a text-to-tag ratio; ratios are smoothed with a Gaussian
 and split by a two-means threshold into content and the rest. The content
-region is the deepest element that still holds most of the text of the lines
-above the threshold; all lines of that region are the article, apart from
-elements that are by name, role or class not part of it.
+region is an article or main element, if such elements hold most of the text of
+the lines above the threshold (all of them if there are several), else the
+deepest element that holds all of these lines; all lines of that region are the
+article, apart from elements that are by name, role or class not part of it.
 """
 
 from __future__ import annotations
@@ -212,21 +213,24 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.7, linked:
     ratios = smooth([len(x.text) / (1 + x.tags) for x in lines], sigma)
     cut = two_means(ratios)
     seeds = [x for x, r in zip(lines, ratios, strict=True) if r >= cut and x.linked < linked * len(x.text)] or lines
+    marked = [x for x in seeds if x.node.article]
+    if sum(len(x.text) for x in marked) >= share * sum(len(x.text) for x in seeds):
+        seeds = marked = [x for x in lines if x.node.article and x.linked < linked * len(x.text)]  # the page marks its articles
     weight: dict[_Node, int] = {}
     child: dict[_Node, list[_Node]] = {}
     for x in seeds:
-        node, size = x.node, len(x.text)
+        node = x.node
         while node is not None:
             if node not in weight:
                 weight[node] = 0
                 if node.parent is not None:
                     child.setdefault(node.parent, []).append(node)
-            weight[node] += size
+            weight[node] += 1
             node = node.parent
     root = next(n for n in weight if n.parent is None)
-    while True:  # go down while one container keeps most of the content
+    while root.tag not in ("article", "main"):  # go down while one container keeps all of the content
         best = max(child.get(root, []), key=weight.get, default=None)
-        if best is None or weight[best] < share * weight[root] or best.tag not in BLOCK or best.tag in HEADINGS or best.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote"):
+        if best is None or weight[best] < weight[root] or best.tag not in BLOCK or best.tag in HEADINGS or best.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote"):
             break
         root = best
     inside: dict[_Node, bool] = {root: True}
@@ -241,7 +245,9 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.7, linked:
         return found
 
     kept = [x for x in lines if within(x.node)]
-    if not root.article:  # lists of links that no element marks
+    if seeds is marked and not root.article:  # several articles
+        kept = [x for x in kept if x.node.article]
+    elif not root.article:  # lists of links that no element marks
         kept = [x for x in kept if x.linked < linked * len(x.text)]
     return "\n".join(x.text for x in kept)
 

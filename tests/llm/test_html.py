@@ -37,6 +37,21 @@ def test_text(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><h1>Title</h1><p>Lead</p><div class=entry>{P}{P}</div></article>", f"Title\nLead\n{TEXT}\n{TEXT}"),
+        (f"<main><div><h1>Title</h1><div><div>{P * 4}</div></div></div></main>", "\n".join(["Title"] + [TEXT] * 4)),
+        (f"<article><section><h2>One</h2>{P * 8}</section><section><h2>Two</h2>{P}</section></article>", "\n".join(["One"] + [TEXT] * 8 + ["Two", TEXT])),
+        (f"<div><div><section>{P * 8}</section><section>{P}</section></div></div>", "\n".join([TEXT] * 9)),
+        (f"<div><article><h2>A</h2><div>{P * 8}</div></article><p>or</p><article><h2>B</h2>{P}</article></div>", "\n".join(["A"] + [TEXT] * 8 + ["B", TEXT])),
+    ],
+)
+def test_nested(page, want):
+    """Wrappers, sections and articles of less text keep their place."""
+    assert main_text(page) == want
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, None, None, "c"), (2, "u", "<article><p>a</article>", "c"), (2, "u", "<article><p>a</article>", "c")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, extract(df).collect())) == [(1, None, "", 0), (2, "u", "a", 1), (2, "u", "a", 1)]
