@@ -3,15 +3,16 @@
 A fingerprint is a vector of sums. Every paragraph is hashed to a wide vector
 of random 32-bit lanes that are summed modulo 2^32, so equal multisets of
 paragraphs have equal fingerprints in any order, and a paragraph is inserted
-or deleted by adding or subtracting its vector. Further lanes sum a plus or
-minus one for each short run of words, modulo 2^16: the mean square of their
-differences estimates how many runs two documents don't share.
+or deleted by adding or subtracting its vector. Further lanes sum a Cauchy
+variate of each sliding run of words, modulo 2^64: a sum of Cauchy variates is
+one, scaled by the sum of the absolute weights, so the median size of the
+differences estimates how many runs, counted with their repeats, two documents
+don't share.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,65 +23,99 @@ from pyspark.sql import functions as F
 
 from quillstack.llm.common import partitions
 
-#: Lanes of the paragraph sums (modulo 2^32), lanes of the signed sums (modulo 2^16), words in a run.
-WIDE, SIGNS, RUN = 16, 128, 6
-SENTENCE = re.compile(r"(?<=[.!?])\s+")
+#: Lanes of the paragraph sums (modulo 2^32), lanes of the run sums (modulo 2^64), words in a run.
+WIDE, LANES, RUN = 16, 128, 6
+#: Cauchy variates in units of 1/SCALE, by 16 random bits.
+SCALE = 2**16
+CAUCHY = np.rint(np.tan(np.pi * ((np.arange(2**16) + 0.5) / 2**16 - 0.5)) * SCALE).astype(np.int64).view(np.uint64)
+#: Odd constants that mix hashes; runs that are hashed at once.
+_rng = np.random.default_rng(12)
+PLACES = _rng.integers(0, 2**63, RUN, np.uint64) * np.uint64(2) + np.uint64(1)
+STEPS = _rng.integers(0, 2**63, LANES // 4, np.uint64) * np.uint64(2) + np.uint64(1)
+MIX = [np.array([x], np.uint64) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+CHUNK = 2048
+#: Fills up a paragraph that is shorter than a run.
+PAD = xxhash.xxh3_64_intdigest(b" ")
 
 
 class Fingerprint:
-    """wide: paragraph sums; signs: signed sums; runs: number of runs. Sums can be added and subtracted."""
+    """wide: paragraph sums; lanes: sums of the runs' variates; runs: number of runs. Sums can be added and subtracted."""
 
-    __slots__ = ("wide", "signs", "runs")
+    __slots__ = ("wide", "lanes", "runs")
 
-    def __init__(self, wide: np.ndarray | None = None, signs: np.ndarray | None = None, runs: int = 0):
+    def __init__(self, wide: np.ndarray | None = None, lanes: np.ndarray | None = None, runs: int = 0):
         self.wide = np.zeros(WIDE, np.uint32) if wide is None else wide
-        self.signs = np.zeros(SIGNS, np.uint16) if signs is None else signs
+        self.lanes = np.zeros(LANES, np.uint64) if lanes is None else lanes
         self.runs = runs
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
-        return Fingerprint(self.wide + other.wide, self.signs + other.signs, self.runs + other.runs)
+        return Fingerprint(self.wide + other.wide, self.lanes + other.lanes, self.runs + other.runs)
 
     def __sub__(self, other: Fingerprint) -> Fingerprint:
-        return Fingerprint(self.wide - other.wide, self.signs - other.signs, self.runs - other.runs)
+        return Fingerprint(self.wide - other.wide, self.lanes - other.lanes, self.runs - other.runs)
 
     def hex(self) -> str:
-        return self.wide.astype("<u4").tobytes().hex() + self.signs.astype("<u2").tobytes().hex() + f"{self.runs % 2**32:08x}"
+        return self.wide.astype("<u4").tobytes().hex() + self.lanes.astype("<u8").tobytes().hex() + f"{self.runs % 2**32:08x}"
 
 
 def paragraphs(text: str) -> list[str]:
     return text.split("\n") if text else []
 
 
-def runs_of(paragraph: str) -> Iterable[str]:
-    """Runs of words: cut at the end of sentences, then after every RUN words."""
-    for sentence in SENTENCE.split(paragraph):
-        words = sentence.split()
-        for k in range(0, len(words), RUN):
-            yield " ".join(words[k : k + RUN])
+def mixed(x: np.ndarray) -> np.ndarray:
+    """x with all bits depending on all bits (the finalizer of splitmix64), in place."""
+    for shift, factor in zip((30, 27), MIX, strict=True):
+        x ^= x >> np.uint64(shift)
+        x *= factor
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def fingerprint(parts: Iterable[str]) -> Fingerprint:
-    wide, hashes = [], []
+def run_hashes(parts: Iterable[str]) -> np.ndarray:
+    """A hash of each run of RUN words of each paragraph, from every word on; a shorter paragraph is one run."""
+    hashes: list[int] = []
+    ends: list[int] = []
+    digest = xxhash.xxh3_64_intdigest
     for p in parts:
-        wide.append(hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=4 * WIDE).digest())
-        hashes.extend(xxhash.xxh3_128_digest(r.encode("utf-8", "surrogatepass")) for r in runs_of(p))
-    out = Fingerprint(runs=len(hashes))
+        words = p.split()
+        if words:
+            hashes += [digest(w.encode("utf-8", "surrogatepass")) for w in words]
+            hashes += [PAD] * (RUN - len(words))
+            ends.append(len(hashes))
+    if not ends:
+        return np.zeros(0, np.uint64)
+    h = np.array(hashes, np.uint64)
+    n = len(h) - RUN + 1
+    runs = np.zeros(n, np.uint64)
+    for j in range(RUN):
+        runs += mixed(h[j : j + n] * PLACES[j : j + 1])
+    inside = np.ones(len(h), bool)
+    for j in range(1, RUN):
+        inside[np.array(ends) - j] = False
+    return runs[inside[:n]]
+
+
+def fingerprint(parts: Iterable[str]) -> Fingerprint:
+    parts = list(parts)
+    wide = [hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=4 * WIDE).digest() for p in parts]
+    runs = run_hashes(parts)
+    out = Fingerprint(runs=len(runs))
     if wide:
         out.wide = np.frombuffer(b"".join(wide), "<u4").reshape(-1, WIDE).sum(0, dtype=np.uint32)
-    if hashes:
-        bits = np.unpackbits(np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, SIGNS // 8), axis=1).sum(0, dtype=np.int64)
-        out.signs = (2 * bits - len(hashes)).astype(np.uint16)
+    for k in range(0, len(runs), CHUNK):
+        bits = mixed(runs[k : k + CHUNK, None] * STEPS[None, :]).astype("<u8", copy=False).view("<u2")
+        out.lanes += CAUCHY[bits].sum(0, dtype=np.uint64)
     return out
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
-    """Estimated share of runs in common, 0 to 1; 1 exactly if the fingerprints are equal."""
-    if a.runs == b.runs and (a.wide == b.wide).all() and (a.signs == b.signs).all():
+    """Estimated share of runs in common, with repeats, 0 to 1; 1 exactly if the fingerprints are equal."""
+    if a.runs == b.runs and (a.wide == b.wide).all() and (a.lanes == b.lanes).all():
         return 1.0
     total = a.runs + b.runs
     if not total:
         return 0.0
-    apart = float(np.mean((a.signs - b.signs).astype(np.int16).astype(np.float64) ** 2))
+    apart = float(np.median(np.abs((a.lanes - b.lanes).view(np.int64).astype(np.float64)))) / SCALE
     return min(max(1 - apart / total, 0.0), 1 - 1e-9)
 
 
