@@ -1,12 +1,15 @@
 """HTML extraction: the main text of a page from parser events.
 
 The standard library's parser streams events; block elements cut the page into
-lines. Each line has a text-to-tag ratio; ratios are smoothed with a Gaussian
-and split by a two-means threshold into content and the rest. The content
-region is an article or main element, if such elements hold most of the text of
-the lines above the threshold (all of them if there are several), else the
-deepest element that holds all of these lines; all lines of that region are the
-article, apart from elements that are by name, role or class not part of it.
+lines. Each line has a text-to-tag ratio; ratios are smoothed with a Gaussian,
+and their logarithms are split into two clusters by a threshold, content and the
+rest. Elements whose class or id has a word of boilerplate are judged by it: they
+stay if their mean ratio is of the content cluster, for a tenth of their ratio
+where the word leaves little doubt. The content region is the article or main
+elements with lines of the content cluster, if these hold most of its text, else
+the deepest element that holds all such lines. All lines of the region are the
+article, but for elements that are by tag or role not part of it, and those that
+were judged to be boilerplate.
 """
 
 from __future__ import annotations
@@ -32,73 +35,69 @@ DROPPED = frozenset(
     " noscript object option optgroup picture progress script search select style svg template textarea title video".split()
 )
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
-SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
-#: Words of class and id attributes that name boilerplate.
-NAMES = re.compile(
-    r"(?:^|(?<!has)(?<!with)(?<!no)[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|adslot|banner|sponsor|sponsored|promo|promotion|promoted|cookies?|consent|gdpr|notice|notices|disclaimer|paywall"
-    r"|sidebar|menu|navbar|nav|navigation|breadcrumbs?|pagination|pager|toolbar|footer|masthead|topbar|comments?|commentlist|respond|replies|discussion|disqus|newsletter|subscribe|signup"
-    r"|share|sharing|social|related|recommended|popup|modal|overlay|skip|widget|login|search|tags|toc)(?:$|[\s_-]|\d)",
-    re.I,
+#: Words of class and id attributes that name boilerplate: those that leave little doubt, and others.
+SURE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored cookie cookies consent gdpr paywall sidebar menu navbar nav navigation breadcrumb"
+    " breadcrumbs pagination pager footer masthead topbar comments commentlist respond disqus newsletter subscribe signup popup modal".split()
 )
-PAGE_HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-]|\d)", re.I)  # inside an article, its own heading
+DOUBTFUL = frozenset(
+    "banner promo promotion promoted notice notices disclaimer comment replies discussion share sharing social related recommended overlay skip widget login search tags toc toolbar".split()
+)
+NAME = re.compile(r"(?:(has|with|no)[-_])?([a-z]+)", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Elements below which a region doesn't begin.
+LEAVES = HEADINGS | {"p", "pre", "li", "td", "th", "dd", "dt", "blockquote"}
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "article")
+    __slots__ = ("tag", "parent", "number", "skip", "article", "doubt", "judged")
 
-    def __init__(self, tag: str, parent: _Node | None, skip: bool, article: bool):
-        self.tag, self.parent, self.skip, self.article = tag, parent, skip, article
+    def __init__(self, tag: str, parent: _Node | None, number: int, skip: bool, article: bool, doubt: float):
+        self.tag, self.parent, self.number, self.skip, self.article = tag, parent, number, skip, article
+        self.doubt = doubt  # 0, or the share of its ratio that counts
+        self.judged: _Node | None = self if doubt else parent.judged if parent else None  # the nearest element to be judged
 
 
 class _Line:
-    __slots__ = ("parts", "node", "tags", "linked", "text", "skip")
+    __slots__ = ("parts", "node", "tags", "linked", "text")
 
     def __init__(self, node: _Node):
-        self.parts, self.node, self.tags, self.linked, self.skip = [], node, 0, 0, node.skip
+        self.parts, self.node, self.tags, self.linked = [], node, 0, 0
+
+
+def named(value: str) -> float:
+    """How much of its ratio counts for an element with such a class or id: 0 if the name says nothing."""
+    words = {m[2].lower() for m in NAME.finditer(value) if not m[1]}
+    return 0.1 if words & SURE else 1.0 if words & DOUBTFUL else 0.0
 
 
 class LineParser(HTMLParser):
-    """Collects lines (text between block boundaries) with their tags and element."""
+    """Collects lines (text between block boundaries) with their tags and element.
+
+    Depths of open elements are kept by tag, so an end tag finds its element, or that it has none, without a search.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.node = _Node("", None, False, False)
+        self.nodes = [_Node("", None, 0, False, False, 0.0)]  # parents before their children
+        self.stack = self.nodes[:]
+        self.open: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
         self.lines: list[_Line] = []
         self.line: _Line | None = None
-        self.links = 0
-        self.depth = 0
-
-    def _break(self) -> None:
-        self.line = None
 
-    def _here(self) -> _Line:
-        if self.line is None or self.line.skip != self.node.skip:
-            self.line = _Line(self.node)
-            self.lines.append(self.line)
-        return self.line
-
-    def _skips(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in DROPPED:
+    def _skips(self, tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+        """Whether the element's tag, role or state says that it isn't part of an article."""
+        if tag in DROPPED or (tag == "header" and not inside):  # an article's own header holds its heading
             return True
-        if tag == "header":  # an article's own header holds its heading
-            return not self.node.article
-        if tag in ("html", "body", "main", "article"):
-            names = ("hidden",)
-        else:
-            names = ("hidden", "class", "id", "role", "aria-hidden", "style")
         for k, v in attrs:
-            if k not in names:
-                continue
             v = v or ""
-            if k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "role" and v.lower() in ROLES):
-                return True
-            if (k == "style" and HIDDEN.search(v)) or (k in ("class", "id") and tag not in HEADINGS and (NAMES.search(v) or not self.node.article and PAGE_HEADER.search(v))):
+            if k == "hidden" or tag not in ("html", "body", "main", "article") and (
+                (k == "aria-hidden" and v == "true") or (k == "role" and v.lower() in ROLES) or (k == "style" and HIDDEN.search(v))
+            ):
                 return True
-        if tag == "article" and self.node.article:
-            return any(k in ("class", "id") and NAMES.search(v or "") for k, v in attrs)
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -107,73 +106,73 @@ class LineParser(HTMLParser):
                 self.line.tags += 1
                 self.line.parts.append("\n" if tag == "br" else "")
             elif tag == "hr":
-                self._break()
+                self.line = None
             return
         closed = CLOSED_BY.get(tag)
         if closed is None and tag in CLOSES_P:
             closed = CLOSED_BY["p"]
-        if closed:
-            self._close(closed, SCOPE.get(tag, ()), tag)
+        if closed:  # by the rules of HTML it ends an open element, if that is the innermost block
+            while self.blocks and self.stack[self.blocks[-1]].tag in closed:
+                self._pop(self.blocks[-1])
+                if tag != "tr":
+                    break
         if tag in BLOCK:
-            self._break()
+            self.line = None
         elif self.line is not None:
             self.line.tags += 1
-        node = self.node
-        self.node = _Node(tag, node, node.skip or self._skips(tag, attrs), node.article or tag in ("article", "main"))
-        self.links += tag == "a"
-
-    def _close(self, tags: set[str], scope: set[str], by: str) -> None:
-        """Ends an open element that the start of another ends by the rules of HTML, with the inline elements in it."""
-        node = self.node
-        while node.parent is not None:
-            if node.tag in tags:
-                self._pop(node)
-                if by not in ("tr",):
-                    return
-                node = self.node
-                continue
-            if node.tag in scope or (node.tag in BLOCK and node.tag not in tags):
-                return
-            node = node.parent
-
-    def _pop(self, node: _Node) -> None:
-        while self.node is not node:
-            self.links -= self.node.tag == "a"
-            self.node = self.node.parent
-        self.links -= node.tag == "a"
-        self.node = node.parent
-        self._break() if node.tag in BLOCK else None
+        above = self.stack[-1]
+        skip = above.skip or self._skips(tag, attrs, above.article)
+        doubt = 0.0
+        if not skip and tag not in HEADINGS and (tag not in ("html", "body", "main", "article") or above.article):
+            names = " ".join(v for k, v in attrs if k in ("class", "id") and v)
+            if names:
+                doubt = named(names) or (0.0 if above.article else float("header" in names.lower().replace("-", " ").replace("_", " ").split()))
+        node = _Node(tag, above, len(self.nodes), skip, above.article or tag in ("article", "main"), doubt)
+        self.nodes.append(node)
+        self.open.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def _pop(self, depth: int) -> None:
+        """Ends the open element at that depth, and those in it."""
+        while len(self.stack) > depth:
+            tag = self.stack.pop().tag
+            self.open[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+                self.line = None
 
     def handle_endtag(self, tag: str) -> None:
-        node = self.node
-        while node.parent is not None and node.tag != tag:
-            if node.tag in BLOCK and tag not in BLOCK:  # a stray inline end doesn't close blocks
-                return
-            node = node.parent
-        if node.parent is None:
+        found = self.open.get(tag)
+        if not found:
             if tag in BLOCK:
-                self._break()
-            return
-        self._pop(node)
-        if tag not in BLOCK and self.line is not None:
-            self.line.tags += 1
+                self.line = None
+        elif tag in BLOCK or not self.blocks or found[-1] > self.blocks[-1]:  # a stray inline end doesn't close blocks
+            self._pop(found[-1])
+            if tag not in BLOCK and self.line is not None:
+                self.line.tags += 1
 
     def handle_data(self, data: str) -> None:
-        if self.line is None and not data.strip():
+        node = self.stack[-1]
+        if node.skip or (self.line is None and not data.strip()):
             return
-        line = self._here()
-        line.parts.append(data)
-        if self.links > 0:
-            line.linked += len(data)
+        if self.line is None:
+            self.line = _Line(node)
+            self.lines.append(self.line)
+        self.line.parts.append(data)
+        if self.open.get("a"):
+            self.line.linked += len(data)
 
 
-def lines_of(html: str) -> list[_Line]:
+def lines_of(html: str) -> tuple[list[_Line], list[_Node]]:
+    """(lines with text, elements)"""
     parser = LineParser()
     parser.feed(html)
     parser.close()
     for line in parser.lines:
         line.text = " ".join("".join(line.parts).split())
-    return [x for x in parser.lines if x.text]
+    return [x for x in parser.lines if x.text], parser.nodes
 
 
 def smooth(values: list[float], sigma: float) -> list[float]:
@@ -188,11 +187,9 @@ def smooth(values: list[float], sigma: float) -> list[float]:
     return out
 
 
-def two_means(values: list[float]) -> float:
-    """The threshold between two clusters of values; the least value if they are all alike."""
+def two_means(values: list[float], apart: float = 1.0) -> float:
+    """The threshold between two clusters of values; if their means aren't so far apart they are one, and it lies below its mean."""
     low, high = min(values), max(values)
-    if high <= low:
-        return low
     for _ in range(50):
         cut = (low + high) / 2
         a, b = [v for v in values if v < cut], [v for v in values if v >= cut]
@@ -200,55 +197,90 @@ def two_means(values: list[float]) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high - low >= apart else sum(values) / len(values) - apart
+
+
+def boilerplate(lines: list[_Line], ratios: list[float], cut: float, linked: float) -> set[_Node]:
+    """The elements to be judged that are boilerplate: of a lower mean ratio than the cut, or mostly links, or in such a one."""
+    sums: dict[_Node, list[float]] = {}
+    for x, r in zip(lines, ratios, strict=True):
+        if x.node.judged is not None:
+            s = sums.setdefault(x.node.judged, [0.0, 0, 0])
+            s[0] += r * len(x.text)
+            s[1] += len(x.text)
+            s[2] += x.linked
+    # sums of inner elements go to the outer ones, children before their parents
+    todo = sorted(sums, key=lambda n: n.number)
+    for node in list(todo):
+        outer = node.parent.judged
+        while outer is not None and outer not in sums:
+            sums[outer] = [0.0, 0, 0]
+            todo.append(outer)
+            outer = outer.parent.judged
+    todo.sort(key=lambda n: n.number)
+    for node in reversed(todo):
+        outer = node.parent.judged
+        if outer is not None:
+            sums[outer] = [a + b for a, b in zip(sums[outer], sums[node], strict=True)]
+    out: set[_Node] = set()
+    for node in todo:
+        weighted, size, links = sums[node]
+        if node.parent.judged in out or math.log1p(node.doubt * weighted / size) < cut or links >= linked * size:
+            out.add(node)
+    return out
+
+
+def region(nodes: list[_Node], seeds: list[_Line]) -> _Node:
+    """The deepest element that holds all seeds; article, main, paragraphs, headings and the like aren't entered."""
+    held = [0] * len(nodes)
+    for x in seeds:
+        held[x.node.number] += 1
+    for node in reversed(nodes[1:]):
+        held[node.parent.number] += held[node.number]
+    root = chain = nodes[0]
+    for node in nodes[1:]:  # those that hold all are a chain, from the outermost on
+        if node.parent is chain and held[node.number] == len(seeds):
+            if node.tag in LEAVES:
+                break
+            chain = node
+            if node.tag in BLOCK:
+                root = node
+            if node.tag in ("article", "main"):
+                break
+    return root
 
 
 def main_text(html: str | None, sigma: float = 1.0, share: float = 0.7, linked: float = 0.6) -> str:
     """The article's text, blocks joined by a newline; empty for null, empty or boilerplate-only pages."""
     if not html:
         return ""
-    lines = [x for x in lines_of(html) if not x.skip]
+    lines, nodes = lines_of(html)
     if not lines:
         return ""
-    ratios = smooth([len(x.text) / (1 + x.tags) for x in lines], sigma)
-    cut = two_means(ratios)
-    seeds = [x for x, r in zip(lines, ratios, strict=True) if r >= cut and x.linked < linked * len(x.text)] or lines
+    own = [len(x.text) / (1 + x.tags) for x in lines]
+    ratios = smooth(own, sigma)
+    cut = two_means([math.log1p(r) for r in ratios])
+    out = boilerplate(lines, own, cut, linked)
+    left = [(x, r) for x, r in zip(lines, ratios, strict=True) if x.node.judged not in out]
+    seeds = [x for x, r in left if math.log1p(r) >= cut and x.linked < linked * len(x.text)] or [x for x, _ in left]
+    if not seeds:
+        return ""
     marked = [x for x in seeds if x.node.article]
-    if sum(len(x.text) for x in marked) >= share * sum(len(x.text) for x in seeds):
-        seeds = marked = [x for x in lines if x.node.article and x.linked < linked * len(x.text)]  # the page marks its articles
-    weight: dict[_Node, int] = {}
-    child: dict[_Node, list[_Node]] = {}
-    for x in seeds:
-        node = x.node
-        while node is not None:
-            if node not in weight:
-                weight[node] = 0
-                if node.parent is not None:
-                    child.setdefault(node.parent, []).append(node)
-            weight[node] += 1
-            node = node.parent
-    root = next(n for n in weight if n.parent is None)
-    while root.tag not in ("article", "main"):  # go down while one container keeps all of the content
-        best = max(child.get(root, []), key=weight.get, default=None)
-        if best is None or weight[best] < weight[root] or best.tag not in BLOCK or best.tag in HEADINGS or best.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote"):
-            break
-        root = best
-    inside: dict[_Node, bool] = {root: True}
-
-    def within(node: _Node) -> bool:
-        path = []
-        while node is not None and node not in inside:
-            path.append(node)
-            node = node.parent
-        found = node is not None and inside[node]
-        inside.update(dict.fromkeys(path, found))
-        return found
-
-    kept = [x for x in lines if within(x.node)]
-    if seeds is marked and not root.article:  # several articles
-        kept = [x for x in kept if x.node.article]
-    elif not root.article:  # lists of links that no element marks
-        kept = [x for x in kept if x.linked < linked * len(x.text)]
+    whole = sum(len(x.text) for x in marked) >= share * sum(len(x.text) for x in seeds)  # the page marks its articles
+    roots = set()
+    if whole:
+        for x in marked:  # the outermost of each line
+            node = x.node
+            while node.parent.article:
+                node = node.parent
+            roots.add(node)
+    else:
+        roots.add(region(nodes, seeds))
+    inside = [node in roots for node in nodes]
+    for node in nodes[1:]:
+        inside[node.number] |= inside[node.parent.number]
+    # outside articles no element marks lists of links
+    kept = [x for x, r in left if inside[x.node.number] and (x.node.article or math.log1p(r) >= cut or x.linked < linked * len(x.text))]
     return "\n".join(x.text for x in kept)
 
 
