@@ -2,10 +2,15 @@
 
 A partition's new words become rows (word, position, token). A recursive query
 joins neighbouring tokens with the merge table and contracts each word's
-leftmost pair of minimum rank until no pair is left. In long words, where a rank
-can't be undercut by the token it makes, all its pairs are contracted at once,
-left to right, with the same result in fewer rounds. Ordered aggregation gives
-a word's tokens; documents are put together from their words in order.
+leftmost pair of minimum rank until no pair is left. Long words are cut before,
+where no token of the vocabulary that occurs in them goes across: no merge can.
+In what is still long all pairs of the least rank are contracted at once, up to
+the first whose token makes a pair of a lower rank yet, with the same result in
+fewer rounds. Ordered aggregation gives a word's tokens; documents are put together
+from their words in order.
+
+Decoding joins the rows (document, position, token) of whole documents with the
+tokens' bytes, and an ordered aggregation puts them together.
 """
 
 from __future__ import annotations
@@ -21,8 +26,11 @@ from pyspark.sql import functions as F
 
 #: Words that a worker remembers; beyond it those not seen lately are forgotten. It affects no result.
 REMEMBERED = 800_000
-#: Words in one recursive query, and the length in bytes from which pairs in runs are contracted by turns.
-WORDS, LONG = 50_000, 48
+#: Words in one recursive query, the length in bytes from which words are cut and pairs in runs contracted by turns, and
+#: bytes of these in one query.
+WORDS, LONG, BYTES = 50_000, 48, 20_000
+#: Tokens decoded in one query; a longer document takes several.
+TOKENS = 1_000_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 #: Short words: a round unfolds each open word to rows (word, position), joins neighbours with the merge table, and
@@ -40,32 +48,34 @@ WITH RECURSIVE t(w, ids, open) AS (
   )
 ) SELECT w, ids FROM t WHERE NOT open"""
 #: Long words, as rows from the start: a round contracts all pairs of the least rank, but of those that overlap in a run
-#: every second; or the leftmost alone if the rank is a careful one.
+#: every second, and none behind the first whose token makes a pair of lower rank with a neighbour.
 RUNS = """
 WITH RECURSIVE t(w, pos, id, open) AS (
   SELECT w, pos, id, true FROM base
   UNION ALL
-  SELECT w, pos, CASE WHEN picked THEN (least >> 40)::INTEGER ELSE id END, least IS NOT NULL
+  SELECT w, pos, CASE WHEN picked THEN least ELSE id END, least IS NOT NULL
   FROM (
     SELECT *, lag(picked) OVER (PARTITION BY w ORDER BY pos) AS taken
     FROM (
-      SELECT w, pos, id, least, coalesce(hit AND CASE WHEN careful THEN pos = least & 1099511627775 ELSE (rn - max(CASE WHEN hit AND NOT coalesce(prior, false) THEN rn END)
-             OVER (PARTITION BY w ORDER BY pos ROWS UNBOUNDED PRECEDING)) % 2 = 0 END, false) AS picked
+      SELECT w, pos, id, least, coalesce(hit AND rn <= min(CASE WHEN undercut THEN rn ELSE 9223372036854775807 END) OVER (PARTITION BY w)
+        AND (rn - max(CASE WHEN hit AND NOT coalesce(prior, false) THEN rn END) OVER (PARTITION BY w ORDER BY pos ROWS UNBOUNDED PRECEDING)) % 2 = 0, false) AS picked
       FROM (
-        SELECT w, pos, id, rn, least, rank = least >> 40 AS hit, c IS NOT NULL AS careful, lag(rank) OVER (PARTITION BY w ORDER BY pos) = least >> 40 AS prior
+        SELECT p.*, lag(hit) OVER (PARTITION BY p.w ORDER BY p.pos) AS prior, coalesce(a.id < p.least OR b.id < p.least OR c.id < p.least, false) AS undercut
         FROM (
-          SELECT q.*, careful.id AS c
+          SELECT n.*, m.id AS rank, min(m.id) OVER (PARTITION BY n.w) AS least, coalesce(m.id = min(m.id) OVER (PARTITION BY n.w), false) AS hit
           FROM (
-            SELECT p.*, m.id AS rank, min((m.id::BIGINT << 40) | p.pos) OVER (PARTITION BY p.w) AS least
-            FROM (
-              SELECT w, pos, id, lead(id) OVER s AS nxt, row_number() OVER s AS rn FROM t WHERE open WINDOW s AS (PARTITION BY w ORDER BY pos)
-            ) p LEFT JOIN merges m ON m.l = p.id AND m.r = p.nxt
-          ) q LEFT JOIN careful ON careful.id = q.least >> 40
-        )
+            SELECT w, pos, id, lag(id) OVER s AS before, lead(id) OVER s AS nxt, lead(id, 2) OVER s AS behind, row_number() OVER s AS rn FROM t WHERE open WINDOW s AS (PARTITION BY w ORDER BY pos)
+          ) n LEFT JOIN merges m ON m.l = n.id AND m.r = n.nxt
+        ) p
+        LEFT JOIN merges a ON p.hit AND a.l = p.before AND a.r = p.least
+        LEFT JOIN merges b ON p.hit AND b.l = p.least AND b.r = p.behind
+        LEFT JOIN merges c ON p.hit AND c.l = p.least AND c.r = p.least
       )
     )
   ) WHERE NOT coalesce(taken, false)
 ) SELECT w, list(id ORDER BY pos) AS ids FROM t WHERE NOT open GROUP BY w"""
+#: Rows (document, position, token) to the bytes of each document.
+DECODE = "SELECT doc, list(bytes ORDER BY pos) AS parts FROM rows JOIN tokens USING (id) GROUP BY doc ORDER BY doc"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -73,44 +83,68 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merge_table(ranks: dict[bytes, int]) -> tuple[pa.Table, pa.Table]:
-    """(merges l, r, id; careful id): every split of a token into two, and the tokens that can make one of lower rank."""
+def merge_table(ranks: dict[bytes, int]) -> pa.Table:
+    """(l, r, id): every split of a token into two."""
     merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-    careful = sorted({x for left, right, i in merges for x in (left, right) if i < x})
     left, right, ids = zip(*merges, strict=True) if merges else ((), (), ())
     kind = pa.int32()
-    return pa.table({"l": pa.array(left, kind), "r": pa.array(right, kind), "id": pa.array(ids, kind)}), pa.table({"id": pa.array(careful, kind)})
+    return pa.table({"l": pa.array(left, kind), "r": pa.array(right, kind), "id": pa.array(ids, kind)})
 
 
 class Bpe:
-    """Encoder and decoder of one rank file, in one process."""
+    """Encoder and decoder of one rank file, in one process. Its database is in memory and never spills to disk."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
 
         self.ranks = load_ranks(path)
-        self.tokens = {i: t for t, i in self.ranks.items()}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.find = regex.compile(pattern).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        merges, careful = merge_table(self.ranks)
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        merges = merge_table(self.ranks)  # noqa: F841  read by name
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
-        self.db.execute("CREATE TABLE careful AS SELECT * FROM careful")
-        self.known: dict[str, tuple[str, int, bytes]] = {}
-        self.older: dict[str, tuple[str, int, bytes]] = {}
+        named = pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())})  # noqa: F841  read by name
+        self.db.execute("CREATE TABLE tokens AS SELECT * FROM named")
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
+        self.matcher = None
+
+    def cut(self, word: bytes) -> list[bytes]:
+        """The word's parts between places that no token that occurs in it goes across."""
+        if self.matcher is None:
+            import ahocorasick
+
+            self.matcher = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            for t in self.ranks:
+                if len(t) > 1:
+                    self.matcher.add_word(t.decode("latin-1"), len(t))
+            self.matcher.make_automaton()
+        # +1 where a token is entered, -1 where it ends; places above 0 are inside of one
+        change = np.zeros(len(word) + 1, np.int32)
+        for last, size in self.matcher.iter(word.decode("latin-1")):
+            change[last - size + 2] += 1
+            change[last + 1] -= 1
+        at = [0, *(np.flatnonzero(np.cumsum(change)[1 : len(word)] == 0) + 1).tolist(), len(word)]
+        return [word[i:j] for i, j in zip(at, at[1:], strict=False)]
 
     def contract(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word, by the recursive query."""
-        sizes = np.array([len(w) for w in words])
-        out: list[list[int]] = [[] for _ in words]
+        """Token ids of each word, by the recursive queries."""
+        parts = [self.cut(w) if len(w) > LONG else [w] for w in words]
+        number = {x: k for k, x in enumerate(dict.fromkeys(x for w in parts for x in w))}
+        distinct = list(number)
+        sizes = np.array([len(x) for x in distinct])
+        out: list[list[int]] = [[] for _ in distinct]
         for runs in (False, True):
             which = np.flatnonzero((sizes > LONG) == runs)
-            step = 64 if runs else WORDS
-            for k in range(0, len(which), step):
-                part = which[k : k + step]
+            if runs:
+                turn = np.cumsum(sizes[which]) // BYTES
+                batches = [which[turn == t] for t in np.unique(turn)]
+            else:
+                batches = [which[k : k + WORDS] for k in range(0, len(which), WORDS)]
+            for part in batches:
                 n = sizes[part]
-                raw = np.frombuffer(b"".join(words[i] for i in part), np.uint8)
+                raw = np.frombuffer(b"".join(distinct[i] for i in part), np.uint8)
                 base = pa.table({  # noqa: F841  read by name in the query
                     "w": np.repeat(part, n), "pos": np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n), "id": self.bytes[raw]
                 })
@@ -118,10 +152,10 @@ class Bpe:
                 if found is not None:
                     for w, ids in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
                         out[w] = ids
-        return out
+        return [out[number[w[0]]] if len(w) == 1 else [i for x in w for i in out[number[x]]] for w in parts]
 
     def learn(self, words: set[str]) -> None:
-        """Remembers the words' ids as text, their number and the bytes they decode to."""
+        """Remembers the words' ids, as text and as 32-bit numbers."""
         if len(self.known) + len(words) > REMEMBERED // 2:
             self.known, self.older = {}, self.known
         todo, raw = [], []
@@ -137,22 +171,47 @@ class Bpe:
                 todo.append(w)
                 raw.append(b)
             else:
-                self.known[w] = (str(i), 1, self.tokens[i])
+                self.known[w] = (str(i), i.to_bytes(4, "little"))
         for w, ids in zip(todo, self.contract(raw), strict=True):
-            self.known[w] = (",".join(map(str, ids)), len(ids), b"".join(map(self.tokens.__getitem__, ids)))
+            self.known[w] = (",".join(map(str, ids)), np.array(ids, "<i4").tobytes())
+
+    def encoded(self, words: list[str]) -> np.ndarray:
+        """Ids of a document from its words, which have been learnt."""
+        return np.frombuffer(b"".join([self.known[w][1] for w in words]), "<i4")
 
     def encode(self, text: str) -> list[int]:
         words = self.find(text)
         self.learn(set(words))
-        return [int(i) for w in words for i in self.known[w][0].split(",")]
+        return self.encoded(words).tolist()
+
+    def decoded(self, documents: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+        """(number of the document, bytes) of the documents' ids, in order; a long document comes in pieces."""
+        ids = np.concatenate(documents) if documents else np.zeros(0, np.int32)
+        doc = np.repeat(np.arange(len(documents)), [len(x) for x in documents])
+        for k in range(0, len(ids), TOKENS):
+            part = ids[k : k + TOKENS]
+            rows = pa.table({"doc": doc[k : k + TOKENS], "pos": np.arange(len(part)), "id": part})  # noqa: F841  read by name
+            found = self.db.sql(DECODE).to_arrow_table().combine_chunks()
+            parts = found.column("parts").combine_chunks() if isinstance(found.column("parts"), pa.ChunkedArray) else found.column("parts")
+            parts = parts.chunk(0) if isinstance(parts, pa.ChunkedArray) else parts
+            values = parts.values  # the bytes of all parts, one after the other
+            places = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, 4 * values.offset)
+            raw, edges = memoryview(values.buffers()[2]), places[parts.offsets.to_numpy()]
+            for i, d in enumerate(found.column("doc").to_pylist()):
+                yield d, bytes(raw[edges[i] : edges[i + 1]])
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return b"".join(x for _, x in self.decoded([np.array(ids, np.int32)]))
 
-    def digest(self, words: list[str]) -> tuple[int, str, str]:
-        known = list(map(self.known.__getitem__, words))
-        ids = hashlib.sha256(",".join([k[0] for k in known]).encode())
-        return sum([k[1] for k in known]), ids.hexdigest(), hashlib.sha256(b"".join([k[2] for k in known])).hexdigest()
+    def digests(self, documents: list[list[str]]) -> list[tuple[int, str, str]]:
+        """Of documents as words: number of ids, sha-256 of the ids, and of the bytes that these are decoded to."""
+        self.learn(set().union(*documents))
+        ids = [self.encoded(words) for words in documents]
+        hashes = [hashlib.sha256() for _ in ids]
+        for d, piece in self.decoded(ids):
+            hashes[d].update(piece)
+        known = self.known
+        return [(len(i), hashlib.sha256(",".join([known[w][0] for w in words]).encode()).hexdigest(), h.hexdigest()) for i, words, h in zip(ids, documents, hashes, strict=True)]
 
 
 _open: dict[tuple[str, str], Bpe] = {}
@@ -170,8 +229,7 @@ def _digests(path: str, pattern: str, chars: int):
         model = bpe(path, pattern)
 
         def flush(ids: list, texts: list[list[str]]) -> pa.RecordBatch:
-            model.learn(set().union(*texts))
-            n, a, b = zip(*map(model.digest, texts), strict=True)
+            n, a, b = zip(*model.digests(texts), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
         for batch in batches:
@@ -219,7 +277,9 @@ def _decoded(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = bpe(path, pattern)
         for batch in batches:
-            raw = [model.decode(x or []) for x in batch.column(1).to_pylist()]
+            raw = [b""] * batch.num_rows
+            for d, piece in model.decoded([np.array([] if x is None else x, np.int32) for x in batch.column(1).to_pylist()]):
+                raw[d] += piece
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "bytes"])
 
     return run

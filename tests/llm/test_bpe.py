@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from random import Random
 
+import numpy as np
 import pytest
 import tiktoken
 
@@ -24,6 +26,7 @@ def plain(model):
 def test_hard_words(model, plain):
     r = Random(2)
     words = ["", "a", "=" * 3000, "ab" * 900, "aaa" * 333, " " * 700 + "x", "日本語のテキスト" * 30, "😀😃" * 40, "<|endoftext|>", "don't we'll\n\n x"]
+    words += [w * 40 for w in ("abcd", "xyzzy", "aab", "ation", "ther", "ingi", "0001", "=-=", "ab ")]
     words += ["".join(r.choice(alphabet) for _ in range(r.randint(1, 120))) for alphabet in ("ab", "abcdefghij", "0123456789abcdef", "éàñß ", "\t\n x") for _ in range(60)]
     for w in words:
         ids = model.encode(w)
@@ -31,6 +34,47 @@ def test_hard_words(model, plain):
         assert model.decode(ids) == w.encode()
 
 
+def test_long_words(model, plain):
+    """A word of a megabyte ends in seconds, whatever it is made of."""
+    r = Random(4)
+    prose = "thequickbrownfoxjumpsoverthelazydogandrunsawayfromhishomeinthemountains"
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)), "a" * 1_000_000, prose * 3000, "ab" * 100_000, "日本語のテキストを書く" * 10_000]
+    for w in words:
+        began = time.process_time()
+        assert model.encode(w) == plain(w)
+        assert time.process_time() - began < 60
+
+
+def test_runs(model, plain, monkeypatch):
+    """The query for long words gives the same ids for short ones."""
+    monkeypatch.setattr(B, "LONG", 3)
+    monkeypatch.setattr(model, "cut", lambda w: [w])
+    r = Random(8)
+    words = ["".join(r.choice(letters) for _ in range(r.randint(4, 60))) for letters in ("etaoinshr", "abc", "aeinrst", "0123456789", "éèàsn", "ing") for _ in range(400)]
+    assert model.contract([w.encode() for w in words]) == [plain(w) for w in words]
+
+
+def test_cut(model):
+    """A cut word has the ids of the whole one."""
+    r = Random(6)
+    for _ in range(200):
+        w = "".join(r.choice("etaoinshrdluqzxj") for _ in range(r.randint(1, 47))).encode()
+        parts = model.cut(w)
+        assert b"".join(parts) == w
+        assert sum(model.contract(parts), []) == model.contract([w])[0]
+
+
+def test_decoding_in_pieces(model, monkeypatch):
+    monkeypatch.setattr(B, "TOKENS", 7)
+    texts = ["", "one two three four five six seven eight nine ten", "", "é日", "x y z " * 9, ""]
+    ids = [np.array(model.encode(t), np.int32) for t in texts]
+    out = [b""] * len(texts)
+    for d, piece in model.decoded(ids):
+        out[d] += piece
+    assert out == [t.encode() for t in texts]
+    assert list(model.decoded([])) == []
+
+
 def test_forgetting(model, plain, monkeypatch):
     monkeypatch.setattr(B, "REMEMBERED", 40)
     for k in range(30):
