@@ -9,7 +9,8 @@ are compared with the most frequent class of their bucket; once those links are
 merged, those left over with the most frequent class among them, and so on while
 that merges enough. Then every pair of a bucket's classes that are still in
 different components is compared, crowded buckets by pairs of blocks; the rounds
-before only spare pairs whose ends are in one component by then.
+before only spare pairs whose ends are in one component by then. Of these pairs
+odd sketches of the shingle sets rule out those that aren't similar enough.
 Exact Jaccard similarity of the two shingle sets decides. Links go to the
 distributed union-find; of each component the first line stays.
 """
@@ -30,12 +31,17 @@ SHINGLE, PERCENT, PERMUTATIONS, BANDS = 8, 80, 7, 5
 #: Values, of two a permutation, that must agree for a candidate. At similarity 0.8, with values taken as independent, 0.2 % of
 #: pairs have fewer, and 0.6 % have no band in common.
 AGREE = 7
-#: Rounds of comparing with leaders, at most; they end when a bucket's row has no more than PAIRS_LEFT pairs on average.
-ROUNDS, PAIRS_LEFT = 6, 4
+#: Rounds of comparing with leaders, at most; they end when a bucket's row has no more than PAIRS_LEFT pairs on average, or a
+#: round finds less than one in WORTH of the links.
+ROUNDS, PAIRS_LEFT, WORTH = 6, 64, 50
 #: Classes of a block of a crowded bucket.
 BLOCK = 256
 #: Keys (8 bytes each) that may be broadcast; with more, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Longs of an odd sketch, and the standard errors beyond which it rules a pair out.
+ODD, ERRORS = 16, 3.0
+#: Pairs verified in a task, and tasks at most.
+PAIRS, MOST_PARTS = 4000, 20_000
 #: Columns of a class of lines that comparisons need.
 CLASS = ("key", "shingles", "v0", "v1", "component")
 _random = Random(20)
@@ -102,32 +108,53 @@ def pairs_left(named: DataFrame) -> int:
     return int(sizes.agg(F.sum(F.col("n") * F.col("n") - F.col("same"))).first()[0] or 0) // 2
 
 
-def in_blocks(named: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Every pair x, y of classes of one bucket and different components, once a bucket.
+def in_blocks(named: DataFrame, near: Column, how: str = "inner", block: int = BLOCK) -> DataFrame:
+    """The pairs x, y of classes of one bucket and different components that are `near`, once a bucket; or (semi) their x.
 
     A bucket of more classes than a block is dealt to blocks by the hash of the
-    class, and its pairs to as many tasks as there are pairs of blocks.
+    class, and its pairs to as many tasks as there are pairs of blocks. Pairs
+    that aren't near leave no row.
     """
     dealt = named.withColumn("of", F.ceil(F.col("m") / block).cast("int"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key"), F.col("of")).cast("int"))
-    x = dealt.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("of") - 1)))
-    y = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block"))))
-    x = prefixed(x.select("bucket", F.col("block").alias("i"), F.col("other").alias("j"), *CLASS), "x_", "bucket", "i", "j")
-    y = prefixed(y.select("bucket", F.col("other").alias("i"), F.col("block").alias("j"), *CLASS), "y_", "bucket", "i", "j")
-    return x.join(y, ["bucket", "i", "j"]).where("x_component <> y_component and (i < j or x_key < y_key)")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key"), F.col("of")).cast("int")).drop("m")
+    x = dealt.withColumn("other", F.explode(F.sequence(F.lit(0) if how == "left_semi" else F.col("block"), F.col("of") - 1)))
+    y = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1 if how == "left_semi" else F.col("block"))))
+    x = prefixed(x.withColumnsRenamed({"block": "i", "other": "j"}).drop("of"), "x_", "bucket", "i", "j")
+    y = prefixed(y.withColumnsRenamed({"other": "i", "block": "j"}).drop("of"), "y_", "bucket", "i", "j").withColumnsRenamed({c: f"y_{c}" for c in ("bucket", "i", "j")})
+    same = (F.col("bucket") == F.col("y_bucket")) & (F.col("i") == F.col("y_i")) & (F.col("j") == F.col("y_j")) & (F.col("x_component") != F.col("y_component"))
+    once = F.lit(True) if how == "left_semi" else (F.col("i") < F.col("j")) | (F.col("x_key") < F.col("y_key"))
+    return x.join(y, same & once & near, how)
+
+
+def sketches(texts: DataFrame) -> DataFrame:
+    """(key, size, o0 .. o15): number of different shingles, and an odd sketch: bits that as many shingles as make an odd number fall on."""
+    units = texts.select("key", F.encode("line", "UTF-16BE").alias("units"))
+    each = units.select("key", "units", F.explode(F.sequence(F.lit(0), last_shingle(F.col("units")))).alias("i")).select("key", shingle_at(F.col("units"), F.col("i")).alias("h"))
+    sets = each.groupBy("key").agg(F.collect_set(F.shiftright("h", 32).cast("int")).alias("set"))
+    bits = sets.select("key", F.size("set").alias("size"), F.explode("set").alias("h")).withColumn("at", F.pmod("h", F.lit(64 * ODD)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))
+    lanes = [F.coalesce(F.bit_xor(F.when(F.floor(F.col("at") / 64) == i, bit)), F.lit(0).cast("long")).alias(f"o{i}") for i in range(ODD)]
+    return bits.groupBy("key").agg(F.max("size").alias("size"), *lanes)
+
+
+def hopeful(x: str, y: str, percent: int) -> Column:
+    """False where odd sketches differ in more bits, by ERRORS standard errors and one, than sets so similar can."""
+    odd = sum((F.bit_count(F.col(f"{x}o{i}").bitwiseXOR(F.col(f"{y}o{i}"))) for i in range(ODD)), F.lit(0))
+    bits = 64 * ODD
+    most = (F.col(f"{x}size") + F.col(f"{y}size")) * (100 - percent) / (100 + percent)  # elements that only one has
+    far = F.exp(-4 * most / bits)
+    mean = bits / 2 * (1 - F.sqrt(far))
+    return odd <= mean + 1 + ERRORS * F.sqrt(F.greatest(bits / 4 * (1 - far) - most * far, F.lit(0.0)))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough, by exact Jaccard similarity.
 
     Both sets of a pair are unfolded to rows, and counted by shingle and side.
     """
-    keys = materialize(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "keys")
-    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    texts = materialize(line_rows(docs).where("key is not null").select("key", "line").join(wanted, "key", "left_semi").distinct(), "lines")
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
-    # the sets of so many pairs at once fit in a task's memory
-    parts = max(partitions(pairs.sparkSession), -(-pairs.count() // 2000))
+    # the sets of so many pairs at once fit in a task's memory; beyond MOST_PARTS they spill
+    parts = max(partitions(pairs.sparkSession), min(-(-pairs.count() // PAIRS), MOST_PARTS))
     both = both.repartition(parts, "a", "b").select("a", "b", F.encode("la", "UTF-16BE").alias("ua"), F.encode("lb", "UTF-16BE").alias("ub"))
     both = both.withColumns({"na": last_shingle(F.col("ua")) + 1, "nb": last_shingle(F.col("ub")) + 1})
     each = both.select("a", "b", "ua", "ub", "na", F.explode(F.sequence(F.lit(0), F.col("na") + F.col("nb") - 1)).alias("i"))
@@ -138,6 +165,12 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return shared.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
 
 
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, line): one line of each class among keys, whose number is checked before they are broadcast."""
+    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return materialize(line_rows(docs).where("key is not null").select("key", "line").join(wanted, "key", "left_semi").distinct(), "lines")
+
+
 def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> DataFrame:
     """A row per line that isn't blank: doc_id, text_key, line_no, first_doc_id, first_line_no and kept.
 
@@ -155,12 +188,13 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     rank = F.shiftleft(F.least("copies", F.lit(2**30)), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(2**32 - 1)))
     signed = signed.select("key", "shingles", rank.alias("rank"), packed_lanes(0).alias("v0"), packed_lanes(7).alias("v1"), bands.alias("bands"))
     posted = materialize(signed, "signatures").withColumn("bucket", F.explode("bands")).drop("bands")
-    buckets = posted.groupBy("bucket").agg(F.count("*").alias("m"), F.max("rank").alias("top")).where("m > 1")
+    buckets = posted.groupBy("bucket").agg(F.count("*").alias("m"), F.max("rank").alias("leader")).where("m > 1")
     met = materialize(posted.join(buckets.hint("shuffle_hash"), "bucket"), "buckets")
-    named = met.drop("top").withColumns({"component": F.col("key"), "led": F.lit(False)})
+    texts = texts_of(docs, materialize(met.select("key").distinct(), "keys"))
+    named = met.withColumns({"component": F.col("key"), "led": F.lit(False)})
     most = PAIRS_LEFT * met.count()
     pairs = links = spark.createDataFrame([], "a long, b long")
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         # those in no component of an earlier leader with the most frequent of them
         left = named.where("not led")
         tops = left.groupBy("bucket").agg(F.max("rank").alias("top"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -168,18 +202,27 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
         leads = prefixed(left.where("rank = top").select("bucket", *CLASS), "y_", "bucket")
         near = prefixed(left.select("bucket", *CLASS), "x_", "bucket").join(leads, "bucket").where("x_component <> y_component")
         new = materialize(ordered(near.where(alike("x_", "y_", percent, agree))).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(verified(new, docs, percent), "links")
+        found = materialize(verified(new, texts, percent), "links")
         pairs, links = pairs.unionByName(new), links.unionByName(found)
         merged = components(links).withColumnRenamed("node", "key")
         named = named.drop("component").join(merged, "key", "left").withColumn("component", F.coalesce("component", "key"))
         heads = named.where("not led").join(tops, "bucket").where("rank = top").groupBy("bucket").agg(F.min("component").alias("head"))
+        if not turn:  # the first leaders have met every class of their buckets
+            named = named.where("rank <> leader")
         open_ = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
         named = named.join(open_, "bucket").join(heads, "bucket", "left").withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("head"), F.lit(False)))
         named = materialize(named.drop("head"), "named")
-        if pairs_left(named) <= most or found.isEmpty():
+        if pairs_left(named) <= most or found.count() * WORTH <= links.count():
             break
-    more = ordered(in_blocks(named).where(alike("x_", "y_", percent, agree))).join(pairs, ["a", "b"], "left_anti")
-    merged = components(links.unionByName(materialize(verified(materialize(more, "pairs"), docs, percent), "links")))
+    # the rest: every pair of a bucket that is still apart and that neither signatures nor sketches rule out
+    close = alike("x_", "y_", percent, agree)
+    rest = named.select("bucket", "m", *CLASS)
+    met_by = materialize(in_blocks(rest, close, "left_semi").select("bucket", F.col("x_key").alias("key")).distinct(), "close")
+    drawn = materialize(sketches(texts.join(met_by.select("key").distinct(), "key", "left_semi")), "sketches")
+    rest = rest.join(met_by, ["bucket", "key"], "left_semi").join(drawn, "key")
+    more = ordered(in_blocks(rest, close & hopeful("x_", "y_", percent))).join(pairs, ["a", "b"], "left_anti")
+    more = materialize(more, "pairs")
+    merged = components(links.unionByName(materialize(verified(more, texts, percent), "links")))
     # the first line of each class, then of each component of several classes
     first = filled.groupBy("key").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
     merged = merged.withColumnRenamed("node", "key")
@@ -193,25 +236,25 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
 
 
 def dedup(docs: DataFrame, **options: int) -> DataFrame:
-    """docs with the lines that aren't kept cut from their texts, and n_chars counted anew.
+    """docs with the lines that aren't kept cut from their texts, and n_chars, if there is one, counted anew.
 
     A document that had lines and loses all of them is dropped, so a repeated
     row is; blank lines, and documents with nothing else, stay as they are.
+    Other columns keep their values, whatever their names. No rows give no rows.
     """
     table = lines(docs, **options)
     numbers = lambda which: F.collect_list(F.when(which, F.col("line_no").cast("int")))
     # of a repeated row, a line is lost if no copy keeps it
     lost = table.groupBy("doc_id", "text_key").agg(
-        F.count_if("kept").alias("_left"), F.count_if(~F.col("kept")).alias("_n"), F.array_except(numbers(~F.col("kept")), numbers(F.col("kept"))).alias("_lost")
-    ).where("_n > 0").drop("_n")
-    names = docs.columns
-    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_key": F.xxhash64(F.col("text").cast("string"))})
-    joined = keyed.join(lost, keyed._doc.eqNullSafe(lost.doc_id) & (keyed._key == lost.text_key), "left").drop(lost.doc_id, lost.text_key)
+        F.count_if("kept").alias("left"), F.count_if(~F.col("kept")).alias("n"), F.array_except(numbers(~F.col("kept")), numbers(F.col("kept"))).alias("lost")
+    ).where("n > 0").drop("n")
+    text = F.col("text").cast("string")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
+    joined = keyed.join(lost, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
     # a row of a repeated pair (doc_id, text) that isn't the first has no lines left
-    turn = F.row_number().over(Window.partitionBy("_doc", "_key").orderBy(F.lit(0)))
-    joined = joined.withColumn("_turn", turn).where(F.col("_lost").isNull() | ((F.col("_turn") == 1) & (F.col("_left") > 0)))
-    marks = F.transform(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), lambda i: i)
-    kept = F.array_except(marks, F.col("_lost"))
-    cut = F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
-    joined = joined.withColumn("_lines", F.split("text", "\n")).withColumn("text", cut)
-    return joined.withColumn("n_chars", F.length("text").cast("long") if "n_chars" in names else F.lit(0)).select(*names)
+    turn = F.row_number().over(Window.partitionBy("doc", "key").orderBy(F.lit(0)))
+    joined = joined.withColumn("turn", turn).where(F.col("lost").isNull() | ((F.col("turn") == 1) & (F.col("left") > 0))).withColumn("lines", F.split("text", "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("lost"))
+    cut = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
+    changed = {"text": cut, "n_chars": F.length(cut).cast("long")}
+    return joined.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -4,7 +4,7 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside.
-CLASHES = ("k", "key", "h", "n", "row", "bucket", "shard", "slot", "spans", "component", "line_no", "length", "offset", "rank", "node", "size", "kept", "label")
+CLASHES = ("k", "key", "h", "n", "bucket", "shard", "slot", "spans", "component", "line_no", "length", "offset", "rank", "node", "size", "kept", "label", "n_words", "n_lines", "n_symbols", "key2", "_key", "_turn", "_doc", "_lines", "_lost", "_left", "row", "left", "lost", "doc", "turn", "lines", "redacted", "_row")
 
 
 @pytest.fixture(scope="session")

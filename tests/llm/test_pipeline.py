@@ -5,6 +5,7 @@ from quillstack.llm import secret_scans
 from quillstack.llm.common import load, materialize
 from quillstack.llm.registry import PACKING
 from quillstack.llm import packing as K
+from tests.llm.conftest import CLASHES
 from tests.llm.test_jaccard import plain as plain_join
 from tests.llm.test_packing import check
 from tests.llm.test_quality import plain as plain_quality
@@ -49,6 +50,20 @@ def test_run(spark):
     assert C.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def test_clashing_columns(spark, odd, none, tmp_path):
+    """Other columns come through every stage with their values, whatever their names."""
+    spark.createDataFrame([(1, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = materialize(odd, "t")
+    for name, stage in C.STAGES[:-1]:
+        out = materialize(stage(spark, docs, str(tmp_path)), "t")
+        assert out.columns == docs.columns, name
+        assert out.count() > 0, name
+        for r in out.collect():
+            assert all(r[c] == "clash" for c in CLASHES), name
+            assert r.n_chars == (None if r.text is None else len(r.text)), name
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
+
+
 def test_odd(spark, odd, none, tmp_path):
     for k, docs in enumerate((odd, none)):
         sf = str(tmp_path / str(k))
