@@ -7,7 +7,7 @@ are written as Parquet to the shared folder and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,36 +16,59 @@ from quillstack.llm.common import load, materialize
 from quillstack.llm.registry import PACKING
 
 
+def carried(docs: DataFrame, *own: str) -> DataFrame:
+    """docs with all columns but its own in a struct `_held`, so that their names can't be those of a stage's results."""
+    held = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c not in own])
+    return docs.select(*own, held.alias("_held"))
+
+
+def restored(df: DataFrame, names: list[str], changed: dict[str, Column] | None = None) -> DataFrame:
+    """The columns `names` of carried documents, in order, some of them changed."""
+    held = set(df.schema["_held"].dataType.names)
+    now = lambda c: F.col("_held").getField(c) if c in held else F.col(c)
+    return df.select(*[(changed or {}).get(c, now(c)).alias(c) for c in names])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; cutoffs come from the labels."""
-    scored = quality_rules.score(docs)
+    """Documents that the quality rules reject go; cutoffs come from the labels.
+
+    Null, empty and short texts are rejected; repeated rows share their fate; a
+    null language is a stratum of its own. No rows give no rows.
+    """
+    scored = quality_rules.score(carried(docs, "doc_id", "text", "lang"))
     fitted = quality_rules.cutoffs(scored, load(spark, sf_dir, "labels"))
-    return quality_rules.judge(scored, fitted).where("kept").select(*docs.columns)
+    kept = quality_rules.judge(scored, fitted).where("kept")
+    return restored(kept.select("doc_id", "text", "lang", "_held"), docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one go, and documents that have none left."""
+    """Lines that repeat an earlier one go, and documents that have none left (see line_dedup.dedup for nulls and the like)."""
     return line_dedup.dedup(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles the one of least doc_id stays; those without an id stay."""
+    """Of documents linked by word shingles the one of least doc_id stays, of repeated ids one row.
+
+    Documents without words link with nothing and stay, as those without an id do. No rows give no rows.
+    """
     found = jaccard_join.join(docs)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(0)))
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    one = carried(docs, "doc_id").join(kept, "doc_id", "left_semi").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+    return restored(one, docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; documents stay. n_chars is counted anew."""
-    held = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])  # their names may be those of results
-    found = secret_scans.scan(docs.select("doc_id", "text", held.alias("_held")), keep=["_held"], redacted=True)
-    changed = {"doc_id": F.col("doc_id"), "text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")}
-    return found.select(*[changed.get(c, F.col("_held").getField(c)).alias(c) for c in docs.columns])
+    """Secrets in the texts are replaced by a mark; all documents stay, repeated rows too. n_chars is counted anew.
+
+    Null texts become empty ones. No rows give no rows.
+    """
+    found = secret_scans.scan(carried(docs, "doc_id", "text"), keep=["_held"], redacted=True).select("doc_id", "_held", "redacted")
+    return restored(found, docs.columns, {"text": F.col("redacted"), "n_chars": F.length("redacted").cast("long")})
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents: null and empty texts are their end mark alone, repeated rows are packed each. No rows give no pieces."""
     return packing.pack(docs, **PACKING).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
