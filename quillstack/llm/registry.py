@@ -30,12 +30,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, bad) of pages whose text is that of a labelled document: of low quality or toxic.
+
+    A page's heading repeats the start of its text, so the text is what follows
+    it. Texts are compared by 64-bit hash, without white space. Ids of pages and
+    documents have nothing to do with each other.
+    """
+    same = lambda text: F.xxhash64(F.translate(text, " \t\n\x0b\x0c\r\u00a0", ""))
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = load(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    known = load(spark, sf_dir, "documents").select("doc_id", same(F.col("text")).alias("key")).join(labels, "doc_id").groupBy("key").agg(F.max("bad").alias("bad"))
+    found = html_extract.extract(load(spark, sf_dir, "pages")).where(F.instr("text", "\n") > 0)
+    return found.select("page_id", same(F.substr("text", F.instr("text", "\n"))).alias("key")).join(known, "key").select("page_id", "bad")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages share the ids of documents; a page is bad if its label says low quality or toxic."""
-    outcomes = load(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad")
-    )
-    return url_filters.judge(load(spark, sf_dir, "pages"), outcomes)
+    return url_filters.judge(load(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

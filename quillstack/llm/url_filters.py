@@ -4,9 +4,10 @@ Labelled page outcomes are counted per host and shrunk through a chain of
 beta-binomial priors: suffix (`com`), registered domain (`example.com`), host
 (`www.example.com`). Each level's prior has the mean of the level above and a
 strength fitted by moments over all its members, and never more than the
-evidence behind that mean. A url is blocked if the
-posterior bound says with the stated confidence that its bad share is above
-the limit, so a host without evidence is allowed.
+evidence behind that mean. A url is blocked if the posterior bound says with the
+stated confidence that the bad share of its host is above the limit, a multiple
+of the share of all labelled pages. So a host without evidence is allowed, and so
+are all hosts if they differ by no more than chance.
 """
 
 from __future__ import annotations
@@ -144,22 +145,26 @@ def host_reputation(
     by_host = shrink(hosts.join(by_domain, "domain"), F.col("domain_mean"), F.col("domain_n"), "host")
     s, m = F.col("s"), F.col("domain_mean")
     beta = by_host.select("host", "n", "bad", (F.col("bad") + s * m).alias("a"), (F.col("n") - F.col("bad") + s * (1 - m)).alias("b"))
-    return beta.mapInPandas(_bounds(1 - confidence), "host string, n long, bad long, a double, b double, bad_low double")
+    beta = beta.withColumn("base", F.lit(float(root.bad / root.n)))
+    return beta.mapInPandas(_bounds(1 - confidence), "host string, n long, bad long, a double, b double, base double, bad_low double")
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, *, most_bad: float = 0.5, rules: Sequence = RULES, **options: float) -> DataFrame:
-    """Verdict per page: the longest fitting rule's, else by the host's posterior bound.
+def judge(pages: DataFrame, outcomes: DataFrame, *, times: float = 1.5, most_bad: float = 0.9, rules: Sequence = RULES, **options: float) -> DataFrame:
+    """Verdict per page: the longest fitting rule's, else by the host's posterior bound, against `times` the overall share, `most_bad` at most.
 
     pages: page_id, url. outcomes: page_id, bad. Several outcomes of a page
-    count once (any bad makes it bad). A null url has an empty host, judged like
-    any other host. Extra columns of pages are left out.
+    count once (any bad makes it bad), repeated pages have the same; null ids have
+    none. A null url has an empty host, judged like any other host; a very long
+    one is matched whole. No pages give no rows; no outcomes allow all that no
+    rule blocks; a bound equal to the limit is allowed. Extra columns of pages are
+    left out.
     """
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     bad = outcomes.where("page_id is not null").groupBy("page_id").agg(F.max("bad").cast("long").alias("bad"))
     known = host_reputation(pages.join(bad, "page_id", "left").select("host", "bad"), **options)
     rule, ruled = rule_columns(F.col("host"), F.col("path"), rules)
-    own = F.when(F.col("bad_low") > most_bad, "block").otherwise("allow")
-    return pages.join(known.select("host", "n", "bad", "bad_low"), "host", "left").select(
+    own = F.when(F.col("bad_low") > F.least(times * F.col("base"), F.lit(most_bad)), "block").otherwise("allow")
+    return pages.join(known.select("host", "n", "bad", "bad_low", "base"), "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(ruled, own).alias("verdict"),
         F.col("n").alias("host_labelled"), F.col("bad").alias("host_bad"), "bad_low",
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from random import Random
 
 import numpy as np
@@ -8,6 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstack.llm import url_filters as U
+from quillstack.llm.common import load
+from quillstack.llm.registry import page_outcomes
+
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize(
@@ -45,8 +50,78 @@ def test_reputation(spark):
     assert out["c.bad.org"].bad_low > out["new.org"].bad_low > out["y.good.org"].bad_low - 0.2
 
 
+def plain(rows):
+    """Host to (bad_low, base), from (url, bad or None) rows: the same model in plain numbers, quantiles by a sum over a grid."""
+    count = {}
+    for url, bad in rows:
+        c = count.setdefault(re.search(r"://([^/?#]*)", url)[1].lower(), [0, 0])
+        if bad is not None:
+            c[0] += 1
+            c[1] += bad
+    parts = lambda h: h.split(".")
+    levels = [lambda h: parts(h)[-1], lambda h: ".".join(parts(h)[-2:]), lambda h: h]
+    n, bad = sum(c[0] for c in count.values()) + 1.0, sum(c[1] for c in count.values()) + 0.5
+    above = {None: (bad / n, n)}
+    key = lambda h: None
+    base = bad / n
+    for level in levels:
+        sums, parent = {}, {}
+        for h, c in count.items():
+            x = sums.setdefault(level(h), [0, 0])
+            x[0] += c[0]
+            x[1] += c[1]
+            parent[level(h)] = key(h)
+        mean = {k: above[parent[k]][0] for k in sums}
+        some = [k for k in sums if sums[k][0]]
+        pq = {k: mean[k] * (1 - mean[k]) for k in some}
+        rest, even = sum((sums[k][1] - sums[k][0] * mean[k]) ** 2 for k in some), sum(sums[k][0] * pq[k] for k in some)
+        pairs = sum(sums[k][0] * (sums[k][0] - 1) * pq[k] for k in some)
+        excess = (rest - even) / pairs if pairs else None
+        strength = min(max(1 / excess - 1 if excess and excess > 0 else 1000.0, 2.0), 1000.0)
+        s = {k: min(strength, above[parent[k]][1]) for k in sums}
+        above, last, priors = {k: ((sums[k][1] + s[k] * mean[k]) / (sums[k][0] + s[k]), sums[k][0] + s[k]) for k in sums}, sums, {k: (s[k] * mean[k], s[k] * (1 - mean[k])) for k in sums}
+        key = level
+    grid = (np.arange(200_000) + 0.5) / 200_000
+    out = {}
+    for h, (m, k) in last.items():
+        a, b = priors[h][0] + k, priors[h][1] + m - k
+        logs = (a - 1) * np.log(grid) + (b - 1) * np.log1p(-grid)
+        weight = np.exp(logs - logs.max())
+        out[h] = (grid[np.searchsorted(np.cumsum(weight), 0.05 * weight.sum())], base)
+    return out
+
+
+def test_whole_table(spark):
+    """Verdicts and bounds of all pages against the plain model; pages find the document that they show."""
+    pages, outcomes = load(spark, SF, "pages"), page_outcomes(spark, SF)
+    bad = {r.page_id: r.bad for r in outcomes.collect()}
+    rows = pages.select("page_id", "url").collect()
+    assert len(bad) >= 0.2 * len(rows)
+    want = plain([(r.url, bad.get(r.page_id)) for r in rows])
+    for r in U.judge(pages, outcomes).collect():
+        low, base = want[r.host]
+        assert abs(r.bad_low - low) < 1e-4
+        assert r.verdict == (("block" if low > min(1.5 * base, 0.9) else "allow") if r.rule is None else dict((h + p, k) for k, h, p in U.RULES)[r.rule])
+
+
+def test_bad_hosts_among_pages(spark):
+    """Where the fixture's hosts of spam have bad outcomes they are blocked, all hosts of them, and hardly any other."""
+    pages = load(spark, "/root/testdata/sf0.1", "pages")
+    spam = F.col("url").rlike("spam-farm|casino-win|ads-track|adult-x")
+    chance = F.pmod(F.xxhash64("page_id"), F.lit(100))
+    outcomes = pages.select("page_id", F.when(spam, chance >= 10).otherwise(chance < 20).cast("int").alias("bad"))
+    out = U.judge(pages, outcomes).join(pages.select("page_id", spam.alias("spam")), "page_id").where("rule is null or rule = 'com/'").where("host_labelled >= 15")
+    hosts = out.select("host", "spam", "host_labelled", "host_bad", "bad_low", (F.col("bad_low") > 0.35).alias("above")).distinct().collect()
+    spam = [h for h in hosts if h.spam]
+    assert len(spam) >= 4
+    assert sum(h.above for h in spam) >= 0.7 * len(spam), spam
+    assert sum(h.above for h in hosts if not h.spam) <= 0.02 * len(hosts)
+
+
 def test_odd(spark):
     df = spark.createDataFrame([(None, None), (1, "http://h/"), (1, "http://h/")], "page_id long, url string")
+    long = spark.createDataFrame([(2, "http://" + "a." * 50_000 + "com/" + "x/" * 100_000)], "page_id long, url string")
+    assert U.judge(long, long.select("page_id", F.lit(1).alias("bad"))).first().rule == "com/"
     labels = spark.createDataFrame([(None, 1), (1, 0), (1, 1)], "page_id long, bad int")
     assert sorted((r.page_id or 0, r.host) for r in U.judge(df, labels).collect()) == [(0, ""), (1, "h"), (1, "h")]
     assert U.judge(df.where("false"), labels).count() == 0
