@@ -117,7 +117,7 @@ def _strength(mean: Column, least: float, most: float) -> Column:
 
 
 def host_reputation(
-    outcomes: DataFrame, *, confidence: float = 0.95, least_strength: float = 2.0, most_strength: float = 1000.0
+    outcomes: DataFrame, *, confidence: float = 0.95, least_strength: float = 2.0, most_strength: float = 20.0
 ) -> DataFrame:
     """Per host: labelled pages `n`, `bad`, posterior `a`, `b` and the lower bound `bad_low` of the bad share.
 

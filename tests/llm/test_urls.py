@@ -77,7 +77,7 @@ def plain(rows):
         rest, even = sum((sums[k][1] - sums[k][0] * mean[k]) ** 2 for k in some), sum(sums[k][0] * pq[k] for k in some)
         pairs = sum(sums[k][0] * (sums[k][0] - 1) * pq[k] for k in some)
         excess = (rest - even) / pairs if pairs else None
-        strength = min(max(1 / excess - 1 if excess and excess > 0 else 1000.0, 2.0), 1000.0)
+        strength = min(max(1 / excess - 1 if excess and excess > 0 else 20.0, 2.0), 20.0)
         s = {k: min(strength, above[parent[k]][1]) for k in sums}
         above, last, priors = {k: ((sums[k][1] + s[k] * mean[k]) / (sums[k][0] + s[k]), sums[k][0] + s[k]) for k in sums}, sums, {k: (s[k] * mean[k], s[k] * (1 - mean[k])) for k in sums}
         key = level
