@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstack.llm.common import partitions
@@ -34,6 +34,8 @@ PLACES = _rng.integers(0, 2**63, RUN, np.uint64) * np.uint64(2) + np.uint64(1)
 STEPS = _rng.integers(0, 2**63, LANES // 4, np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = [np.array([x], np.uint64) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 CHUNK = 2048
+#: Bytes of text in a range, and ranges at most, whose bounds and first ids come to the driver.
+RANGE, MOST_RANGES = 64_000_000, 50_000
 #: Fills up a paragraph that is shorter than a run.
 PAD = xxhash.xxh3_64_intdigest(b" ")
 
@@ -164,6 +166,16 @@ def _rows(done: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
 
 
+def range_of(place: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts are below the place, by halving."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>")
+    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
+    below = lambda at, step: F.coalesce(F.get(bounds, at + step - 1) < place, F.lit(False))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(below(at, step), at + step).otherwise(at))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of docs (doc_id, text): its fingerprint, and that of its edited text (see `edited`).
 
@@ -171,15 +183,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     the last row back to the first; a single row is its own next. A null text
     counts as empty and has no paragraphs. Other columns are left out.
 
-    Texts are shuffled once, to ranges of doc_id. The first row of each range,
-    one text a range, also goes to the end of the range before it.
+    Texts are shuffled once, to ranges of doc_id of about RANGE bytes, a task
+    each. The first row of each range, one text a range, also goes to the end of
+    the range before it. Rows of one repeated doc_id are one range.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("place"))
-    ranges = partitions(spark)
-    cuts = docs.agg(F.percentile_approx("place", [k / ranges for k in range(1, ranges)], 100 * ranges).alias("c")).first().c if ranges > 1 else None
-    bounds = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts or []))]).cast("array<long>")
-    docs = docs.withColumn("range", F.size(F.filter(bounds, lambda c: c < F.col("place"))))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
+    ranges = min(max(partitions(spark), -(-size // RANGE)), MOST_RANGES)
+    cuts = docs.agg(F.percentile_approx("place", [k / ranges for k in range(1, ranges)], 10 * ranges).alias("c")).first().c if ranges > 1 else None
+    docs = docs.withColumn("range", range_of(F.col("place"), sorted(set(cuts or []))))
     # a row per range: which ones have rows, and where each begins
     first = sorted(docs.groupBy("range").agg(F.min("place").alias("place")).collect())
     ahead = [(place, first[i - 1].range) for i, (_, place) in enumerate(first)]
@@ -188,5 +201,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select("range", F.lit(False).alias("ahead"), "place", "doc_id", "text").unionByName(
         heads.select(F.col("to").alias("range"), F.lit(True).alias("ahead"), "place", "x.doc_id", "x.text")
     )
-    rows = rows.repartition(ranges, "range").sortWithinPartitions("range", "ahead", "place", F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    rows = rows.repartitionById(len(first) or 1, F.col("range")) if hasattr(rows, "repartitionById") else rows.repartitionByRange(len(first) or 1, "range")
+    rows = rows.sortWithinPartitions("range", "ahead", "place", F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit("")))
     return rows.mapInArrow(_neighbours, COLUMNS)

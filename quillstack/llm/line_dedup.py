@@ -188,10 +188,15 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     rank = F.shiftleft(F.least("copies", F.lit(2**30)), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(2**32 - 1)))
     signed = signed.select("key", "shingles", rank.alias("rank"), packed_lanes(0).alias("v0"), packed_lanes(7).alias("v1"), bands.alias("bands"))
     posted = materialize(signed, "signatures").withColumn("bucket", F.explode("bands")).drop("bands")
-    buckets = posted.groupBy("bucket").agg(F.count("*").alias("m"), F.max("rank").alias("leader")).where("m > 1")
-    met = materialize(posted.join(buckets.hint("shuffle_hash"), "bucket"), "buckets")
+    buckets = posted.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
+    met = posted.join(buckets.hint("shuffle_hash"), "bucket").withColumn("component", F.col("key"))
+    # classes with no candidate in a bucket leave it
+    close = alike("x_", "y_", percent, agree)
+    met = materialize(met, "buckets")
+    met = in_blocks(met, close, "left_semi").select("bucket", *[F.col(f"x_{c}").alias(c) for c in met.columns if c not in ("bucket", "m")]).distinct()
+    met = materialize(met.join(met.groupBy("bucket").agg(F.count("*").alias("m")), "bucket"), "met")
     texts = texts_of(docs, materialize(met.select("key").distinct(), "keys"))
-    named = met.withColumns({"component": F.col("key"), "led": F.lit(False)})
+    named = met.withColumn("led", F.lit(False))
     most = PAIRS_LEFT * met.count()
     pairs = links = spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
@@ -208,14 +213,13 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
         named = named.drop("component").join(merged, "key", "left").withColumn("component", F.coalesce("component", "key"))
         heads = named.where("not led").join(tops, "bucket").where("rank = top").groupBy("bucket").agg(F.min("component").alias("head"))
         if not turn:  # the first leaders have met every class of their buckets
-            named = named.where("rank <> leader")
+            named = named.join(tops, "bucket", "left").where("top is null or rank <> top").drop("top")
         open_ = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
         named = named.join(open_, "bucket").join(heads, "bucket", "left").withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("head"), F.lit(False)))
         named = materialize(named.drop("head"), "named")
         if pairs_left(named) <= most or found.count() * WORTH <= links.count():
             break
     # the rest: every pair of a bucket that is still apart and that neither signatures nor sketches rule out
-    close = alike("x_", "y_", percent, agree)
     rest = named.select("bucket", "m", *CLASS)
     met_by = materialize(in_blocks(rest, close, "left_semi").select("bucket", F.col("x_key").alias("key")).distinct(), "close")
     drawn = materialize(sketches(texts.join(met_by.select("key").distinct(), "key", "left_semi")), "sketches")

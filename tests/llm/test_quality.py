@@ -39,12 +39,20 @@ def test_odd(odd, none, spark):
 
 
 def test_log_tail(spark):
-    for n, k in ((10, 0), (50, 2), (400, 3), (5000, 40)):
-        exact = sum(math.comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(k + 1))
+    for n, k in ((10, 0), (400, 0), (400, 3), (5000, 40), (8000, 79)):
+        exact = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(0.01) + (n - i) * math.log(0.99)) for i in range(k + 1))
         got = spark.range(1).select(Q.log_tail(F.lit(float(n)), F.lit(float(k)), 0.01).alias("x")).first().x
         assert abs(got - math.log(exact)) < 1e-6
 
 
+def test_large_tail(spark):
+    """Ten million losses of a billion: as the normal approximation has it, in a short array."""
+    n, p, z = 10**9, 0.01, 3.0
+    k = round(n * p - z * math.sqrt(n * p * (1 - p)))
+    got = spark.range(1).select(Q.log_tail(F.lit(float(n)), F.lit(float(k)), p).alias("x")).first().x
+    assert abs(got - math.log(0.5 * math.erfc(z / math.sqrt(2)))) < 0.01
+
+
 def test_risk_is_controlled(spark):
     """The accepted cutoff is the least that the exact test proves, and none is accepted without enough labels."""
     rows = [(i, "en", 100, 200, 20 if i % 500 == 0 else 1, 10, 0, 0, False) for i in range(3000)] + [(5000 + i, "de", 100, 200, 1, 10, 0, 0, False) for i in range(50)]
