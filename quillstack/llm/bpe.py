@@ -33,20 +33,20 @@ WORDS, LONG, BYTES = 50_000, 48, 20_000
 TOKENS = 1_000_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: Short words: a round unfolds each open word to rows (word, position), joins neighbours with the merge table, and
-#: contracts the word's least (rank, position).
+#: Short words: a round unfolds each word to rows (word, position), joins neighbours with the merge table, and contracts
+#: the word's least (rank, position); a word without any isn't looked at again.
 SHORT = """
-WITH RECURSIVE t(w, ids, open) AS (
-  SELECT w, list(id ORDER BY pos), true FROM base GROUP BY w
-  UNION ALL
-  SELECT w, CASE WHEN best IS NULL THEN ids ELSE list_concat(list_concat(list_slice(ids, 1, spot - 1), [best]), list_slice(ids, spot + 2, len(ids))) END, best IS NOT NULL
-  FROM (
-    SELECT p.w, any_value(p.ids) AS ids, min(m.id) AS best, arg_min(p.pos, (m.id::BIGINT << 40) | p.pos) FILTER (m.id IS NOT NULL) AS spot
-    FROM (SELECT w, ids, unnest(range(1, len(ids) + 1)) AS pos FROM t WHERE open) p
-    LEFT JOIN merges m ON m.l = p.ids[p.pos] AND m.r = p.ids[p.pos + 1]
+WITH RECURSIVE t(w, ids) USING KEY (w) AS (
+  SELECT w, list(id ORDER BY pos) FROM base GROUP BY w
+  UNION
+  SELECT t.w, list_concat(list_concat(list_slice(ids, 1, spot - 1), [best::INTEGER]), list_slice(ids, spot + 2, len(ids)))
+  FROM t JOIN (
+    SELECT p.w, min((m.id::BIGINT << 40) | p.pos) >> 40 AS best, min((m.id::BIGINT << 40) | p.pos) & 1099511627775 AS spot
+    FROM (SELECT w, unnest(ids[:-2]) AS l, unnest(ids[2:]) AS r, unnest(range(1, len(ids))) AS pos FROM t) p
+    JOIN merges m ON m.l = p.l AND m.r = p.r
     GROUP BY p.w
-  )
-) SELECT w, ids FROM t WHERE NOT open"""
+  ) b ON b.w = t.w
+) SELECT w, ids FROM t"""
 #: Long words, as rows from the start: a round contracts all pairs of the least rank, but of those that overlap in a run
 #: every second, and none behind the first whose token makes a pair of lower rank with a neighbour.
 RUNS = """
@@ -106,8 +106,8 @@ class Bpe:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         named = pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())})  # noqa: F841  read by name
         self.db.execute("CREATE TABLE tokens AS SELECT * FROM named")
-        self.known: dict[str, tuple[str, bytes]] = {}
-        self.older: dict[str, tuple[str, bytes]] = {}
+        self.known: tuple[dict[str, str], dict[str, bytes]] = {}, {}  # a word's ids as text, and as 32-bit numbers
+        self.older: tuple[dict[str, str], dict[str, bytes]] = {}, {}
         self.matcher = None
 
     def cut(self, word: bytes) -> list[bytes]:
@@ -156,28 +156,25 @@ class Bpe:
 
     def learn(self, words: set[str]) -> None:
         """Remembers the words' ids, as text and as 32-bit numbers."""
-        if len(self.known) + len(words) > REMEMBERED // 2:
-            self.known, self.older = {}, self.known
-        todo, raw = [], []
-        for w in words:
-            if w in self.known:
-                continue
-            if w in self.older:
-                self.known[w] = self.older[w]
+        if len(self.known[0]) + len(words) > REMEMBERED // 2:
+            self.known, self.older = ({}, {}), self.known
+        (text, raw), (old_text, old_raw) = self.known, self.older
+        todo = []
+        for w in words - text.keys():
+            if w in old_text:
+                text[w], raw[w] = old_text[w], old_raw[w]
                 continue
-            b = w.encode()
-            i = self.ranks.get(b)
+            i = self.ranks.get(w.encode())
             if i is None:
                 todo.append(w)
-                raw.append(b)
             else:
-                self.known[w] = (str(i), i.to_bytes(4, "little"))
-        for w, ids in zip(todo, self.contract(raw), strict=True):
-            self.known[w] = (",".join(map(str, ids)), np.array(ids, "<i4").tobytes())
+                text[w], raw[w] = str(i), i.to_bytes(4, "little")
+        for w, ids in zip(todo, self.contract([w.encode() for w in todo]), strict=True):
+            text[w], raw[w] = ",".join(map(str, ids)), np.array(ids, "<i4").tobytes()
 
     def encoded(self, words: list[str]) -> np.ndarray:
         """Ids of a document from its words, which have been learnt."""
-        return np.frombuffer(b"".join([self.known[w][1] for w in words]), "<i4")
+        return np.frombuffer(b"".join(map(self.known[1].__getitem__, words)), "<i4")
 
     def encode(self, text: str) -> list[int]:
         words = self.find(text)
@@ -187,10 +184,10 @@ class Bpe:
     def decoded(self, documents: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
         """(number of the document, bytes) of the documents' ids, in order; a long document comes in pieces."""
         ids = np.concatenate(documents) if documents else np.zeros(0, np.int32)
-        doc = np.repeat(np.arange(len(documents)), [len(x) for x in documents])
+        doc = np.repeat(np.arange(len(documents), dtype=np.int32), [len(x) for x in documents])
         for k in range(0, len(ids), TOKENS):
             part = ids[k : k + TOKENS]
-            rows = pa.table({"doc": doc[k : k + TOKENS], "pos": np.arange(len(part)), "id": part})  # noqa: F841  read by name
+            rows = pa.table({"doc": doc[k : k + TOKENS], "pos": np.arange(len(part), dtype=np.int32), "id": part})  # noqa: F841  read by name
             found = self.db.sql(DECODE).to_arrow_table().combine_chunks()
             parts = found.column("parts").combine_chunks() if isinstance(found.column("parts"), pa.ChunkedArray) else found.column("parts")
             parts = parts.chunk(0) if isinstance(parts, pa.ChunkedArray) else parts
@@ -210,8 +207,8 @@ class Bpe:
         hashes = [hashlib.sha256() for _ in ids]
         for d, piece in self.decoded(ids):
             hashes[d].update(piece)
-        known = self.known
-        return [(len(i), hashlib.sha256(",".join([known[w][0] for w in words]).encode()).hexdigest(), h.hexdigest()) for i, words, h in zip(ids, documents, hashes, strict=True)]
+        text = self.known[0].__getitem__
+        return [(len(i), hashlib.sha256(",".join(map(text, words)).encode()).hexdigest(), h.hexdigest()) for i, words, h in zip(ids, documents, hashes, strict=True)]
 
 
 _open: dict[tuple[str, str], Bpe] = {}
