@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillstack.plans import archive, linked
+from quillstack.plans import archive, linked, pieces
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (archive, linked):
+for _module in (archive, linked, pieces):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
