@@ -243,7 +243,7 @@ def record(text: Column, field: str = "<|>") -> Column:
     part = lambda i: clean_string(F.get(f, F.lit(i)))
     name = lambda i: F.upper(part(i))
     last = F.element_at(f, -1)
-    weight = F.when(last.rlike(r"^[-+]?[0-9]*\.?[0-9]+$"), last.try_cast("double")).otherwise(1.0)
+    weight = float_literal(last)
     null = F.lit(None).cast("string")
     entity = F.struct(
         F.lit("entity").alias("kind"), name(1).alias("name"), null.alias("other"), name(2).alias("type"), part(3).alias("description"), null.alias("keywords"), F.lit(None).cast("double").alias("weight")
@@ -254,6 +254,23 @@ def record(text: Column, field: str = "<|>") -> Column:
     return F.when((F.size(f) >= 4) & (F.get(f, F.lit(0)) == '"entity"') & (strip(name(1)) != ""), entity).when((F.size(f) >= 5) & (F.get(f, F.lit(0)) == '"relationship"'), relation)
 
 
+def float_literal(c: Column, otherwise: float = 1.0) -> Column:
+    """The number that a text spells, with an optional sign and point; else a default."""
+    return F.when(c.rlike(r"^[-+]?[0-9]*\.?[0-9]+$"), c.try_cast("double")).otherwise(otherwise)
+
+
+def predicate(keywords: Column) -> Column:
+    """struct(predicate, keywords) of an edge's keywords: stripped, lower case, the first one or `related`."""
+    words = F.filter(F.transform(F.split(F.coalesce(keywords, F.lit("")), "<SEP>"), lambda x: F.lower(strip(x))), lambda x: x != "")
+    return F.struct(F.coalesce(F.get(words, F.lit(0)), F.lit("related")).alias("predicate"), words.alias("keywords"))
+
+
+def summary_input(description: Column, tokens: int = 512, parts: int = 12) -> Column:
+    """struct(text, needs_model): a merged description cut to so many tokens; one of more parts is for a model to sum up."""
+    kept = token_cut(description, tokens)
+    return F.struct(kept.alias("text"), (F.size(F.split(kept, "<SEP>")) > parts).alias("needs_model"))
+
+
 def fill_template(template: Column, values: Column) -> Column:
     """`{key}` replaced by the map's value, for every key."""
     return F.aggregate(F.map_entries(values), template, lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")), F.coalesce(e["value"], F.lit(""))))
@@ -375,6 +392,38 @@ def row_cells(line: Column) -> Column:
     return F.transform(F.when(F.size(tabs) >= 2, tabs).when(F.size(gaps) >= 2, gaps), strip)
 
 
+def lines_markdown(lines: Column) -> Column:
+    """Raw lines (an array) as a Markdown table, what isn't part of it in a fence below; without any table all in a fence.
+
+    The delimiter with more rows makes the table, the tab if both have as many;
+    the rows of the other one are left out. The row before the first of mostly
+    numeric cells is the header; if that is the first row, columns are numbered;
+    without numeric rows the first is the header. Rows above the header go to the
+    fence, cells joined by tabs, then lines of one cell.
+    """
+    by_tab = F.filter(lines, lambda x: x.contains("\t"))
+    gaps = F.filter(lines, lambda x: ~x.contains("\t") & x.rlike("  +"))
+    plain = F.filter(lines, lambda x: ~x.contains("\t") & ~x.rlike("  +"))
+    cut = lambda rows, by: F.transform(rows, lambda x: F.transform(F.split(x, by), strip))
+    rows = F.when(F.size(by_tab) >= F.size(gaps), cut(by_tab, "\t")).otherwise(cut(gaps, "  +"))
+    numeric = F.transform(rows, lambda r: 2 * F.size(F.filter(r, numeric_cell)) > F.size(r))
+    data = F.array_position(numeric, F.lit(True)).cast("int")  # from 1, 0 without
+    head = F.when(data == 0, 1).otherwise(data - 1)  # from 1, 0 for numbered columns
+    numbered = F.transform(F.sequence(F.lit(1), F.greatest(F.size(F.get(rows, F.lit(0))), F.lit(1))), lambda i: F.concat(F.lit("列"), i.cast("string")))
+    headers = F.when(head == 0, numbered).otherwise(F.get(rows, head - 1))
+    above = F.transform(F.slice(rows, F.lit(1), F.greatest(head - 1, F.lit(0))), lambda r: F.array_join(r, "\t"))
+    rest = F.concat(above, plain)
+    fence = F.when(F.size(rest) > 0, F.concat(F.lit("\n\n```\n"), F.array_join(rest, "\n"), F.lit("\n```"))).otherwise("")
+    made = F.concat(markdown_table(headers, F.slice(rows, head + 1, F.greatest(F.size(rows) - head, F.lit(0)))), fence, F.lit("\n"))
+    return F.when(F.size(rows) == 0, F.concat(F.lit("```\n"), F.array_join(plain, "\n"), F.lit("\n```\n"))).otherwise(made)
+
+
+def context_text(rows: Column) -> Column:
+    """Texts of rows of cells above a header: cells joined by blanks, rows by semicolons, blank ones left out."""
+    filled = F.transform(rows, lambda r: F.array_join(F.transform(F.filter(r, lambda c: ~blank_cell(c)), strip), " "))
+    return F.array_join(F.filter(filled, lambda x: x != ""), "; ")
+
+
 def markdown_table(headers: Column, rows: Column) -> Column:
     line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
     rule = line(F.transform(headers, lambda _: F.lit("---")))

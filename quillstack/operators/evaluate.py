@@ -72,6 +72,32 @@ def grade_share(hits: Column, total: Column, refusal: Column, refused: Column) -
     return F.when(refusal, refused & (hits >= 1)).otherwise((hits >= 1) & (hits / F.greatest(total, F.lit(1)) >= 0.5))
 
 
+def keyword_scope(texts: Column, every: Column, some: Column, first: int | None = None) -> Column:
+    """Whether the texts (an array; the first ones only if asked) hold all of one list of words and, if there are any, one of the other."""
+    whole = F.array_join(texts if first is None else F.slice(texts, 1, first), "\n")
+    has = lambda w: whole.contains(w)
+    return F.forall(every, has) & ((F.size(some) == 0) | F.exists(some, has))
+
+
+def response_texts(chunks: Column, total: Column) -> Column:
+    """struct(texts, total) of a reply: an array of structs with content, and a total that may be missing."""
+    texts = F.transform(F.coalesce(chunks, F.array().cast("array<struct<content:string>>")), lambda c: F.coalesce(c["content"], F.lit("")))
+    return F.struct(texts.alias("texts"), F.coalesce(total, F.size(texts)).cast("long").alias("total"))
+
+
+def chosen_cases(cases: DataFrame, category: str | None = None, first: int = 0, last: int = 2**31 - 1) -> DataFrame:
+    """Cases of a category, if one is named, whose id has a number in range after its first dash."""
+    number = F.get(F.split("id", "-"), F.lit(1)).try_cast("int")
+    out = cases.where(number.between(first, last))
+    return out if category is None else out.where(F.col("category") == category)
+
+
+def summary(results: DataFrame, key: str, passed: Column) -> DataFrame:
+    """One row: total, passed, the rate in whole percent and the sorted keys of those that failed. For reports, of few rows."""
+    rate = F.when(F.count("*") > 0, F.round(100.0 * F.count_if(passed) / F.count("*"), 0)).otherwise(0.0)
+    return results.agg(F.count("*").alias("total"), F.count_if(passed).alias("passed"), rate.cast("long").alias("percent"), F.array_sort(F.collect_list(F.when(~passed, F.col(key)))).alias("failed"))
+
+
 def first_failure_gate(df: DataFrame, group: str, order: list[str], ok: Column) -> DataFrame:
     """done, failed or not_run: after a group's first failure nothing runs."""
     before = F.min(ok.cast("int")).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))

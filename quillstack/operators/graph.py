@@ -29,6 +29,40 @@ def merge_nodes(entities: DataFrame) -> DataFrame:
     return best.join(rest, "name")
 
 
+def merge_relations(edges: DataFrame) -> DataFrame:
+    """edges (source, target, predicate, keywords, weight, description, doc_id, pos) as one for each unordered pair.
+
+    Weights are summed (null or 0 counts as 1) and rounded to 2; the predicate
+    is that of the first by doc_id and pos; keywords, descriptions (each of which
+    may hold several, joined by SEP) and documents are sorted sets. Loops go.
+    """
+    weight = F.when(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)) == 0, 1.0).otherwise(F.col("weight").cast("double"))
+    pair = edges.where(F.col("source") != F.col("target")).withColumns({"weight": weight, "a": F.least("source", "target"), "b": F.greatest("source", "target")})
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
+    parts = F.split(F.coalesce("description", F.lit("")), SEP)
+    return pair.groupBy(F.col("a").alias("source"), F.col("b").alias("target")).agg(
+        F.round(F.sum("weight"), 2).alias("weight"), F.min_by("predicate", F.struct("doc_id", "pos")).alias("predicate"), union("keywords").alias("keywords"),
+        F.array_join(union(parts), SEP).alias("description"), F.array_sort(F.collect_set("doc_id")).alias("sources"),
+    )
+
+
+def merge_documents(entities: DataFrame, relations: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) over all documents, names replaced by their aliases (name, canonical).
+
+    entities: name, type, description, doc_id, pos: a node's type is that of its
+    first mention. Edges are merged as by merge_relations, and kept if both ends are nodes.
+    """
+    names = aliases.select("name", "canonical")
+    called = entities.join(names, "name", "left").withColumn("name", F.coalesce("canonical", "name"))
+    parts = F.split(F.coalesce("description", F.lit("")), SEP)
+    nodes = called.groupBy("name").agg(
+        F.min_by("type", F.struct("doc_id", "pos")).alias("type"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(parts)))), SEP).alias("description"), F.array_sort(F.collect_set("doc_id")).alias("sources")
+    )
+    for end in ("source", "target"):
+        relations = relations.join(names.select(F.col("name").alias(end), "canonical"), end, "left").withColumn(end, F.coalesce("canonical", end)).drop("canonical")
+    return nodes, inside(merge_relations(relations), nodes)
+
+
 def both_ways(edges: DataFrame) -> DataFrame:
     """Every edge from either end: node, other, weight."""
     there = edges.select(F.col("source").alias("node"), F.col("target").alias("other"), "weight")

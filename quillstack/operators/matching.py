@@ -73,19 +73,40 @@ def missing_anchors(anchors: DataFrame, texts: DataFrame, key: str, anchor: str,
     return anchors.join(whole, key, "left").where(~F.coalesce(F.contains("_whole", anchor), F.lit(False))).drop("_whole")
 
 
-def close_names(names: DataFrame, pool: DataFrame, key: Column, block: int = 3, ratio: float = 0.6, top: int = 3) -> DataFrame:
-    """For each name the pool's equal normalised name, else its closest ones in the block of the first characters.
+def select_todo(targets: DataFrame, done: DataFrame, key: str, only: Sequence[str] = (), redo: bool = False, limit: int = 0) -> DataFrame:
+    """Targets not done (all if `redo`) whose key holds any of the substrings, if there are any; with a limit the first by key."""
+    out = targets if redo else todo(targets, done, key)
+    wanted = [s for s in only if s]
+    if wanted:
+        out = out.where(F.exists(F.array(*map(F.lit, wanted)), lambda s: F.col(key).contains(s)))
+    return out.orderBy(key).limit(limit) if limit else out
+
+
+def close_names(names: DataFrame, pool: DataFrame, key: Column, ratio: float = 0.6, top: int = 3) -> DataFrame:
+    """For each name the pool's equal normalised name, else its closest ones.
 
     names, pool: id and name. Returns id, match_id and score (1 if equal); the
-    score is one less the edit distance over the longer length.
+    score is one less the edit distance over the longer length. A score of
+    `ratio` needs so large a share of equal characters, counted with repeats, so
+    names are joined on the rarest ones of their characters, as many as make sure
+    that every pair with enough in common meets; no pair is lost.
     """
     a = names.select("id", key.alias("k"))
     b = pool.select(F.col("id").alias("match_id"), key.alias("k"))
     equal = a.join(b, "k").select("id", "match_id", F.lit(1.0).alias("score"))
-    rest = a.join(equal.select("id"), "id", "left_anti").withColumn("block", F.left("k", F.lit(block)))
-    near = rest.join(b.select("match_id", F.col("k").alias("other"), F.left("k", F.lit(block)).alias("block")), "block")
+    rest = a.join(equal.select("id"), "id", "left_anti")
+    distinct = rest.select("k").union(b.select("k")).where(F.col("k") != "").distinct()
+    chars = distinct.select("k", F.explode(F.filter(F.split("k", ""), lambda c: c != "")).alias("c")).groupBy("k", "c").agg(F.count("*").alias("m"))
+    chars = chars.select("k", "c", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("no"))
+    rare = chars.groupBy("c", "no").agg(F.count("*").alias("df"))
+    order = F.row_number().over(Window.partitionBy("k").orderBy("df", "c", "no"))
+    first = chars.join(rare, ["c", "no"]).withColumn("place", order).where(F.col("place") <= F.length("k") - F.ceil(ratio * F.length("k")) + 1).select("k", "c", "no")
+    x = first.join(rest.select("k").distinct(), "k", "left_semi").withColumnRenamed("k", "k")
+    y = first.join(b.select("k").distinct(), "k", "left_semi").withColumnRenamed("k", "other")
+    sizes = F.least(F.length("k"), F.length("other")) >= ratio * F.greatest(F.length("k"), F.length("other"))
     score = 1 - F.levenshtein("k", "other") / F.greatest(F.length("k"), F.length("other"), F.lit(1))
-    near = near.select("id", "match_id", score.alias("score")).where(F.col("score") >= ratio)
+    near = x.join(y, ["c", "no"]).where(sizes).select("k", "other").distinct().withColumn("score", score).where(F.col("score") >= ratio)
+    near = rest.join(near, "k").join(b.withColumnRenamed("k", "other"), "other").select("id", "match_id", "score")
     turn = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "match_id"))
     return equal.unionByName(near.withColumn("_turn", turn).where(F.col("_turn") <= top).drop("_turn"))
 

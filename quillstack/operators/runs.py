@@ -68,3 +68,17 @@ def image_groups(files: DataFrame, path: str) -> DataFrame:
     pages = F.array_sort(F.collect_list(F.struct(F.col("s.page").isNull().alias("none"), "s.page", F.lower("rel").alias("low"), "rel")))
     key = F.concat_ws("/", F.when(F.col("folder") != "", F.col("folder")), "s.base")
     return x.groupBy(key.alias("group")).agg(F.transform(pages, lambda p: p["rel"]).alias("pages"), F.count("*").alias("n"))
+
+
+def sheet_names(titles: DataFrame, workbook: str, order: str, title: str, length: int = 31) -> DataFrame:
+    """titles with `sheet`, a name that is legal and, in any case, unique in its workbook; repeats get `~1`, `~2` and so on.
+
+    Two names that are equal only after the suffix is set are not told apart again.
+    """
+    bare = F.regexp_replace(F.regexp_replace(title, r"[\\/:*?\[\]]", ""), r"\s+", "")
+    base = F.regexp_replace(F.left(bare, F.lit(length)), r"[; ；,，\-(]+$", "")
+    x = titles.withColumn("_base", F.when(base != "", base).otherwise("Sheet1"))
+    turn = F.row_number().over(Window.partitionBy(workbook, F.lower("_base")).orderBy(order)) - 1
+    suffix = F.concat(F.lit("~"), F.col("_turn").cast("string"))
+    name = F.when(F.col("_turn") == 0, F.col("_base")).otherwise(F.concat(F.left("_base", length - F.length(suffix)), suffix))
+    return x.withColumn("_turn", turn).withColumn("sheet", name).drop("_base", "_turn")

@@ -29,7 +29,7 @@ def degree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.neighbours(edge_merge(spark, sf_dir)).where(F.col("node").startswith("supplier"))
+    return graph.neighbours(edge_merge(spark, sf_dir))
 
 
 def see_also(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +244,8 @@ def anchor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items as cases (their first words as keywords), documents ranked by id as results."""
     words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: F.length(w) > 4)
     cases = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("case_id"), F.array(F.lit("1,000")).alias("numbers"), F.slice(words, 1, 3).alias("keywords"), F.lit(2).alias("min_keywords"))
-    ranked = table(spark, sf_dir, "documents").where("doc_id < 400").select((F.col("doc_id") % 40).alias("case_id"), (F.floor(F.col("doc_id") / 40) + 1).alias("rank"), "text")
+    n = cases.agg(F.max("case_id") + 1).first()[0]
+    ranked = table(spark, sf_dir, "documents").select((F.col("doc_id") % n).alias("case_id"), (F.floor(F.col("doc_id") / n) + 1).alias("rank"), "text")
     x = evaluate.score_retrieval(cases, ranked)
     return x.select("case_id", "hit5", "hit10", F.col("mrr_rank").cast(LONG).alias("mrr_rank"), "numeric_exact", F.col("kw_hits").cast(LONG).alias("kw_hits"), F.col("kw_needed").cast(LONG).alias("kw_needed"), "passed")
 
@@ -281,7 +282,7 @@ _LOG = """g AS (SELECT user_id AS rel, event_id, ts, CASE event_type WHEN 'signu
 ORACLES = {
     "edge_merge": f"WITH {_EDGES} SELECT * FROM e",
     "degree": f"WITH {_EDGES}, {_BOTH} SELECT node, count(*) AS degree FROM b GROUP BY node",
-    "neighbours": f"WITH {_EDGES}, {_BOTH} SELECT node, other, round(sum(weight), 2) AS weight FROM b WHERE node LIKE 'supplier%' GROUP BY 1, 2",
+    "neighbours": f"WITH {_EDGES}, {_BOTH} SELECT node, other, round(sum(weight), 2) AS weight FROM b GROUP BY 1, 2",
     "see_also": f"WITH {_EDGES}, {_BOTH} SELECT node, other, rank FROM (SELECT node, other, row_number() OVER (PARTITION BY node ORDER BY weight DESC, other) AS rank FROM b) WHERE rank <= 6",
     "contract_nodes": """SELECT least(s, t) AS source, greatest(s, t) AS target, round(sum(w), 2) AS weight, count(*) AS n FROM (SELECT 'part' || l_partkey AS s, 'nation' || s_nationkey AS t, l_quantity AS w
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) GROUP BY 1, 2""",
@@ -338,7 +339,8 @@ ORACLES = {
     "hybrid_score": f"""WITH {_TOP}, h AS (SELECT query, hit, round(0.3 * (label = want)::INTEGER + 0.7 * score + CASE WHEN label % 3 = want % 3 THEN 0.01 ELSE 0 END, 6)::DOUBLE AS final FROM t WHERE rank <= 64),
         r AS (SELECT query, hit, final AS score, row_number() OVER (PARTITION BY query ORDER BY final DESC, hit) AS rank FROM h) SELECT * FROM r WHERE rank <= 5""",
     "anchor_scores": """WITH c AS (SELECT item_id AS case_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: length(w) > 4)[1:3] AS kw FROM benchmark),
-        r AS (SELECT doc_id % 40 AS case_id, doc_id // 40 + 1 AS rank, regexp_replace(lower(text), '([0-9]),+', '\\1', 'g') AS t FROM documents WHERE doc_id < 400),
+        m AS (SELECT max(item_id) + 1 AS n FROM benchmark),
+        r AS (SELECT doc_id % n AS case_id, doc_id // n + 1 AS rank, regexp_replace(lower(text), '([0-9]),+', '\\1', 'g') AS t FROM documents, m WHERE doc_id // n < 10),
         h AS (SELECT c.case_id, kw, rank, contains(t, '1000') AS num, list_filter(kw, lambda k: contains(t, k)) AS f FROM c LEFT JOIN r USING (case_id)),
         g AS (SELECT case_id, any_value(len(kw)) AS nk, min(rank) FILTER (num OR len(f) > 0) AS fr, coalesce(bool_or(num), false) AS num, len(list_distinct(flatten(list(coalesce(f, []))))) AS kh FROM h GROUP BY 1)
         SELECT case_id, coalesce(fr, 0) BETWEEN 1 AND 5 AS hit5, fr IS NOT NULL AS hit10, coalesce(fr, 0) AS mrr_rank, num AS numeric_exact, kh AS kw_hits, CASE WHEN nk > 0 THEN 2::BIGINT ELSE 0 END AS kw_needed,

@@ -77,15 +77,27 @@ def questions(spark: SparkSession, path: str) -> DataFrame:
     x = spark.read.option("multiLine", True).schema(schemas.QUESTION).json(path)
     required = ("id", "text", "dataset_ids", "use_kg", "expected_keywords", "category")
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in required]))
-    bad = x.select(F.coalesce("id", F.lit("?")).alias("id"), missing.alias("m")).where(F.size("m") > 0).limit(1000).collect()
+    bad = x.select(F.coalesce("id", F.lit("?")).alias("id"), missing.alias("m")).where(F.size("m") > 0).collect()  # a hand-written set
     if bad or x.isEmpty():
         raise ValueError("; ".join(f"{r.id}: {', '.join(r.m)}" for r in bad) or "no questions")
     return x
 
 
-def keyed_object(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """A JSON object of objects as rows (key, value fields)."""
-    text = spark.read.text(path, wholetext=True)
+def _missing(error: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error)
+
+
+def keyed_object(spark: SparkSession, path: str, value: str, default: DataFrame | None = None) -> DataFrame:
+    """A JSON object of objects as rows (key, value fields); the default, if there is one, where there is no such file.
+
+    The file is read as one row: for states and manifests, which are small.
+    """
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except Exception as error:
+        if default is None or not _missing(error):
+            raise
+        return default
     return text.select(F.explode(F.from_json("value", f"map<string, {value}>")).alias("key", "v")).select("key", "v.*")
 
 
@@ -101,10 +113,15 @@ def two_columns(spark: SparkSession, path: str) -> DataFrame:
 def files(spark: SparkSession, root: str, extensions: Sequence[str], skip: Sequence[str] = (), content: bool = False) -> DataFrame:
     """Files below root with one of the extensions, in any case, outside the folders to skip: rel, length and, if asked, content.
 
-    The content isn't read unless it is selected.
+    The content isn't read unless it is selected. No such root gives no rows.
     """
     glob = "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in e) for e in extensions) + "}"
-    x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    try:
+        x = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    except Exception as error:
+        if not _missing(error):
+            raise
+        return spark.createDataFrame([], "rel string, length long" + (", content binary" if content else ""))
     rel = F.regexp_replace(F.substring_index("path", root.rstrip("/"), -1), "^/", "")
     inside = F.arrays_overlap(F.split("rel", "/"), F.array(*map(F.lit, skip)).cast("array<string>"))
     return x.withColumn("rel", rel).where(~inside).select("rel", "length", *(["content"] if content else []))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +32,30 @@ def roll_back(spark: SparkSession, path: str, archive: str) -> None:
     spark.read.parquet(archive).write.mode("overwrite").parquet(path)
 
 
+def _swapped(df: DataFrame, path: str) -> None:
+    """Writes df beside the table at path, which df may be read from, and puts it in its place; the old one goes last."""
+    spark = df.sparkSession
+    jvm = spark._jvm
+    fresh, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(fresh)
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
+        raise RuntimeError(f"{path} can't be moved; the new table is at {fresh}")
+    if not fs.rename(at(fresh), at(path)):
+        fs.rename(at(old), at(path))
+        raise RuntimeError(f"{path} can't be replaced; the new table is at {fresh}")
+    fs.delete(at(old), True)
+
+
 def upsert_table(existing: DataFrame, new: DataFrame, key: str, path: str) -> None:
-    """New rows replace those of their key; written beside the old table."""
-    upsert(existing, new, key).write.mode("overwrite").parquet(path)
+    """New rows replace those of their key; `existing` may be the table at path."""
+    _swapped(upsert(existing, new, key), path)
 
 
 def patch_table(existing: DataFrame, changes: DataFrame, key: str, path: str) -> None:
-    patch(existing, changes, key).write.mode("overwrite").parquet(path)
+    """Fields that aren't null in changes replace those of their key; `existing` may be the table at path."""
+    _swapped(patch(existing, changes, key), path)
 
 
 def write_vocabulary(df: DataFrame, path: str) -> None:
