@@ -38,6 +38,8 @@ ROUNDS, PAIRS_LEFT, WORTH = 6, 64, 50
 BLOCK = 256
 #: Keys (8 bytes each) that may be broadcast; with more, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Shingles of a line hashed in one row.
+STEP = 4
 #: Longs of an odd sketch, and the standard errors beyond which it rules a pair out.
 ODD, ERRORS = 16, 3.0
 #: Pairs verified in a task, and tasks at most.
@@ -69,11 +71,13 @@ def last_shingle(units: Column, size: int = SHINGLE) -> Column:
 
 def signatures(lines: DataFrame) -> DataFrame:
     """(key, shingles, copies, s0 .. s13): number of shingles, number of lines and signature of each class of lines."""
-    units = lines.where("key is not null").select("key", F.encode("line", "UTF-16BE").alias("units"))
-    each = units.withColumn("n", last_shingle(F.col("units")) + 1).select("key", "n", "units", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    each = each.select("key", "n", "i", shingle_at(F.col("units"), F.col("i")).alias("h"))
-    lanes = [f(F.col("h").bitwiseXOR(F.lit(m))).alias(f"s{2 * i + j}") for i, m in enumerate(MASKS) for j, f in enumerate((F.min, F.max))]
-    return each.groupBy("key").agg(F.max("n").alias("shingles"), F.count_if(F.col("i") == 0).alias("copies"), *lanes)
+    units = lines.where("key is not null").select("key", F.encode("line", "UTF-16BE").alias("units")).withColumn("last", last_shingle(F.col("units")))
+    # a row has STEP shingles, the last one again where there are fewer: minima and maxima stay the same
+    each = units.select("key", "last", "units", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("i"))
+    each = each.select("key", "last", "i", *[shingle_at(F.col("units"), F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STEP)])
+    flipped = lambda m: [F.col(f"h{j}").bitwiseXOR(F.lit(m)) for j in range(STEP)]
+    lanes = [f(g(*flipped(m))).alias(f"s{2 * i + j}") for i, m in enumerate(MASKS) for j, (f, g) in enumerate(((F.min, F.least), (F.max, F.greatest)))]
+    return each.groupBy("key").agg((F.max("last") + 1).alias("shingles"), F.count_if(F.col("i") == 0).alias("copies"), *lanes)
 
 
 def packed_lanes(first: int) -> Column:
