@@ -25,9 +25,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         # done when every edge leads to the least node of a star: no node with a lesser neighbour has a greater one
         # or a second lesser one
-        twice = links.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-        middle = links.select("a").join(links.select(F.col("b").alias("a")), "a", "left_semi")
-        if twice.unionByName(middle).isEmpty():
+        ends = links.select("a", F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(links.select(F.col("b").alias("a"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+        ties = ends.groupBy("a").agg(F.sum("low").alias("low"), F.max("high").alias("high"))
+        if not ties.agg(F.count_if(F.col("low") + F.col("high") * F.least("low", F.lit(1)) > 1)).first()[0]:
             break
         # large star: neighbours above a node are tied to the least of its neighbourhood
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
