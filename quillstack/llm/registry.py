@@ -84,4 +84,26 @@ QUERIES = {
     f.__name__: f
     for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op8_line_dedup, op9_jaccard_join, op10_fingerprints)
 }
-ORACLES: dict[str, str] = {}
+#: All pairs of documents that share a shingle, and the least id reachable by links. The others' results come from hashes, training or tokenizers.
+ORACLES: dict[str, str] = {
+    "op9_jaccard_join": r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+') IF w <> ''] AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS shingle
+  FROM words),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reached(doc_id, low) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT links.b, reached.low FROM reached JOIN links ON links.a = reached.doc_id WHERE reached.low < links.b)
+SELECT r.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(low)::BIGINT AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+}
