@@ -69,6 +69,12 @@ def last_shingle(units: Column, size: int = SHINGLE) -> Column:
     return F.greatest((F.octet_length(units) / 2).cast("int") - size, F.lit(0))
 
 
+def shingle_set(line: Column) -> Column:
+    """Array of the different shingle hashes of a line, which is encoded once."""
+    each = lambda units: F.transform(F.sequence(F.lit(0), last_shingle(units)), lambda i: shingle_at(units, i))
+    return F.transform(F.array(F.encode(line, "UTF-16BE")), lambda units: F.array_distinct(each(units)))[0]
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """(key, shingles, copies, s0 .. s13): number of shingles, number of lines and signature of each class of lines."""
     units = lines.where("key is not null").select("key", F.encode("line", "UTF-16BE").alias("units")).withColumn("last", last_shingle(F.col("units")))
@@ -154,19 +160,15 @@ def hopeful(x: str, y: str, percent: int) -> Column:
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough, by exact Jaccard similarity.
 
-    Both sets of a pair are unfolded to rows, and counted by shingle and side.
+    A row holds the two sets of its pair, and nothing else is kept in memory.
     """
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
-    # the sets of so many pairs at once fit in a task's memory; beyond MOST_PARTS they spill
     parts = max(partitions(pairs.sparkSession), min(-(-pairs.count() // PAIRS), MOST_PARTS))
-    both = both.repartition(parts, "a", "b").select("a", "b", F.encode("la", "UTF-16BE").alias("ua"), F.encode("lb", "UTF-16BE").alias("ub"))
-    both = both.withColumns({"na": last_shingle(F.col("ua")) + 1, "nb": last_shingle(F.col("ub")) + 1})
-    each = both.select("a", "b", "ua", "ub", "na", F.explode(F.sequence(F.lit(0), F.col("na") + F.col("nb") - 1)).alias("i"))
-    left = F.col("i") < F.col("na")
-    shingle = F.when(left, shingle_at(F.col("ua"), F.col("i"))).otherwise(shingle_at(F.col("ub"), F.col("i") - F.col("na")))
-    sides = each.select("a", "b", shingle.alias("h"), F.when(left, 1).otherwise(2).alias("side")).groupBy("a", "b", "h").agg(F.bit_or("side").alias("sides"))
-    shared = sides.groupBy("a", "b").agg(F.count_if(F.col("sides") == 3).alias("common"), F.count("*").alias("all"))
-    return shared.where(100 * F.col("common") >= percent * F.col("all")).select("a", "b")
+    sets = both.repartition(parts, "a", "b").select("a", "b", shingle_set(F.col("la")).alias("sa"), shingle_set(F.col("lb")).alias("sb"))
+    sizes = sets.select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("both"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
+    similar = 100 * F.col("common") >= percent * (F.col("both") - F.col("common"))
+    # unfolded, as a plain filter would be computed before the rows are dealt to tasks
+    return sizes.select("a", "b", F.explode(F.array(similar)).alias("similar")).where("similar").select("a", "b")
 
 
 def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
