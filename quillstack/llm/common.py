@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,11 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints/quillstack"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (found or spark.sparkContext.getCheckpointDir() or LOCAL_CHECKPOINTS).rstrip("/")
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (found or LOCAL_CHECKPOINTS).rstrip("/")
 
 
 def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
