@@ -39,18 +39,15 @@ def joined(form: Column, text: Column, prefix: Column, middle: Column, suffix: C
     return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(text)
 
 
-def restored(output: Column, form: Column) -> Column:
-    """The text that an output of the given form was made from. Marks can't occur in its parts."""
-
-    def parts(second: str) -> tuple[Column, Column, Column]:
-        head = F.substring_index(output, second, 1)
-        rest = F.substr(output, F.length(head) + 4)
-        then = F.substring_index(rest, MIDDLE, 1)
-        return F.substr(head, F.lit(4)), then, F.substr(rest, F.length(then) + 4)
-
-    prefix, suffix, middle = parts(SUFFIX)
-    suffix_, prefix_, middle_ = parts(PREFIX)
-    return F.when(form == "psm", F.concat(prefix, middle, suffix)).when(form == "spm", F.concat(prefix_, middle_, suffix_)).otherwise(output)
+def restored(df: DataFrame, output: str = "output", form: str = "form") -> DataFrame:
+    """df with `restored`, the text that its output was made from by the form. Marks can't occur in the parts."""
+    second = F.when(F.col(form) == "psm", SUFFIX).otherwise(PREFIX)
+    x = df.withColumn("_at", F.position(second, F.col(output)))
+    x = x.withColumns({"_first": F.substr(output, F.lit(4), F.col("_at") - 4), "_rest": F.substr(output, F.col("_at") + 3)})
+    x = x.withColumn("_at", F.position(F.lit(MIDDLE), F.col("_rest")))
+    x = x.withColumns({"_then": F.substr("_rest", F.lit(1), F.col("_at") - 1), "_middle": F.substr("_rest", F.col("_at") + 3)})
+    whole = F.when(F.col(form) == "psm", F.concat("_first", "_middle", "_then")).when(F.col(form) == "spm", F.concat("_then", "_middle", "_first")).otherwise(F.col(output))
+    return x.withColumn("restored", whole).drop("_at", "_first", "_rest", "_then", "_middle")
 
 
 def transform(docs: DataFrame, rate: int = 90, spm: int = 20, salt: str = "1:") -> DataFrame:
@@ -73,20 +70,19 @@ def transform(docs: DataFrame, rate: int = 90, spm: int = 20, salt: str = "1:")
     # one exchange for the three branches below: each uses all three of its columns
     base = docs.withColumn("row", F.monotonically_increasing_id()).repartition(n, "row")
 
-    units = base.select("row", "doc_id", F.posexplode_outer(F.regexp_extract_all("text", F.lit(UNIT), 0)).alias("ordinal", "unit"))
-    so_far = Window.partitionBy("row", "doc_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
-    ends = units.select("row", "ordinal", F.sum(F.length("unit")).over(so_far).alias("end"))
-
     h = draws(F.col("doc_id"), salt)
     marked = F.contains("text", F.lit(PREFIX)) | F.contains("text", F.lit(SUFFIX)) | F.contains("text", F.lit(MIDDLE))
     form = F.when((F.col("text") == "") | marked | (h[2] % 100 >= rate), "plain").when(h[3] % 100 < spm, "spm").otherwise("psm")
     drawn = base.select("row", "doc_id", "text", count_units(F.col("text")).alias("n")).select("*", (h[0] % (F.col("n") + 1)).alias("x"), (h[1] % (F.col("n") + 1)).alias("y"))
     # a cut after c units lies at the end of unit c - 1; one after none at 0, which no row has. The request holds both cuts
-    # of a row, so that it meets the units where they are, and the ordinal is compared in the join
+    # of a row, so that it meets the units where they are; those behind the last cut leave in the join
     cuts = drawn.select(F.col("row").alias("of"), (F.least("x", "y") - 1).alias("low"), (F.greatest("x", "y") - 1).alias("high"))
-    found = ends.join(cuts.hint("shuffle_hash"), (F.col("row") == F.col("of")) & ((F.col("ordinal") == F.col("low")) | (F.col("ordinal") == F.col("high"))))
+    units = base.select("row", "doc_id", F.posexplode_outer(F.regexp_extract_all("text", F.lit(UNIT), 0)).alias("ordinal", "unit")).select("row", "doc_id", "ordinal", F.length("unit").alias("size"))
+    asked = units.join(cuts.hint("shuffle_hash"), (F.col("row") == F.col("of")) & (F.col("ordinal") <= F.col("high"))).drop("of")
+    so_far = Window.partitionBy("row", "doc_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
+    ends = asked.withColumn("end", F.sum("size").over(so_far))
     at = lambda c: F.max(F.when(F.col("ordinal") == F.col(c), F.col("end")))
-    offsets = found.groupBy("row").agg(at("low").alias("first"), at("high").alias("last"))
+    offsets = ends.groupBy("row").agg(at("low").alias("first"), at("high").alias("last"))
 
     cut = drawn.join(offsets.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "n", form.alias("form"), F.coalesce("first", F.lit(0)).alias("first"), F.coalesce("last", F.lit(0)).alias("last"))
     when = lambda c: F.when(F.col("form") != "plain", c)
@@ -99,7 +95,5 @@ def transform(docs: DataFrame, rate: int = 90, spm: int = 20, salt: str = "1:")
 
 def digests(made: DataFrame) -> DataFrame:
     """Counts and hashes of transform's rows; restored_sha256 is that of the text rebuilt from the output and the form."""
-    return made.select(
-        "doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"),
-        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
-    )
+    counted = made.select("doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"), "output")
+    return restored(counted).withColumns({"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2("restored", 256)}).drop("output", "restored")

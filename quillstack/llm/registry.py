@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstack.llm import bpe, fingerprints, html_extract, jaccard_join, line_dedup, packing, quality_rules, secret_scans, sharding, url_filters
+from quillstack.llm import bpe, fill_middle, fingerprints, html_extract, jaccard_join, learned_partitions, line_dedup, packing, periodic_runs, quality_rules, secret_scans, sharding, url_filters
 from quillstack.llm.common import load
 
 #: Where the public tokenizers lie; parameters of the operators.
@@ -80,11 +80,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(load(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(load(spark, sf_dir, "documents"))
+
+
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transform(load(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op8_line_dedup, op9_jaccard_join, op10_fingerprints)
+    for f in (op1_html_extraction, op2_secret_scans, op3_packing, op4_url_filters, op5_sharding, op6_quality_rules, op7_bpe, op8_line_dedup, op9_jaccard_join, op10_fingerprints, op11_periodic_runs, op12_learned_partitions, op13_fill_middle)
 }
-#: All pairs of documents that share a shingle, and the least id reachable by links. The others' results come from hashes, training or tokenizers.
+#: op9: all pairs of documents that share a shingle, and the least id reachable by links. op13: lists of units, cut and joined again.
+#: The others' results come from hashes, training or tokenizers, or need a search over all periods.
 ORACLES: dict[str, str] = {
     "op9_jaccard_join": r"""
 WITH RECURSIVE words AS MATERIALIZED (
@@ -105,5 +118,22 @@ reached(doc_id, low) AS (
   UNION SELECT links.b, reached.low FROM reached JOIN links ON links.a = reached.doc_id WHERE reached.low < links.b)
 SELECT r.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(low)::BIGINT AS component_id
 FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+    "op13_fill_middle": r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+  FROM documents),
+draws AS (
+  SELECT *, len(u)::BIGINT AS n, [('0x' || substr(d, 8 * k + 1, 8))::UBIGINT::BIGINT FOR k IN range(4)] AS h FROM units),
+cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle, coalesce(array_to_string(u[b + 1:n], ''), '') AS suffix FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
 """,
 }
