@@ -76,9 +76,11 @@ def transform(docs: DataFrame, rate: int = 90, spm: int = 20, salt: str = "1:")
     drawn = base.select("row", "doc_id", "text", count_units(F.col("text")).alias("n")).select("*", (h[0] % (F.col("n") + 1)).alias("x"), (h[1] % (F.col("n") + 1)).alias("y"))
     # a cut after c units lies at the end of unit c - 1; one after none at 0, which no row has. The request holds both cuts
     # of a row, so that it meets the units where they are; those behind the last cut leave in the join
-    cuts = drawn.select(F.col("row").alias("of"), (F.least("x", "y") - 1).alias("low"), (F.greatest("x", "y") - 1).alias("high"))
+    # (numbers that can't be null: a filter on them would be pushed below the exchange, which would then be made twice)
+    known = lambda c: F.coalesce(c - 1, F.lit(-1).cast("long"))
+    cuts = drawn.select(F.col("row").alias("of"), known(F.least("x", "y")).alias("low"), known(F.greatest("x", "y")).alias("high"))
     units = base.select("row", "doc_id", F.posexplode_outer(F.regexp_extract_all("text", F.lit(UNIT), 0)).alias("ordinal", "unit")).select("row", "doc_id", "ordinal", F.length("unit").alias("size"))
-    asked = units.join(cuts.hint("shuffle_hash"), (F.col("row") == F.col("of")) & (F.col("ordinal") <= F.col("high"))).drop("of")
+    asked = units.join(cuts.hint("shuffle_hash"), (F.col("row") == F.col("of")) & (F.coalesce("ordinal", F.lit(0)) <= F.col("high"))).drop("of")
     so_far = Window.partitionBy("row", "doc_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
     ends = asked.withColumn("end", F.sum("size").over(so_far))
     at = lambda c: F.max(F.when(F.col("ordinal") == F.col(c), F.col("end")))
