@@ -13,7 +13,7 @@ sampled vectors that neither the graph nor the network has seen.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -179,8 +179,23 @@ def fit(sample: np.ndarray, rows: int, k: int, recall: float = RECALL) -> Index:
     return index
 
 
-def best(queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, first: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query (places of rows, scores) of its k best rows, best first, ties by `first`, and of those equal to the last.
+def floors(queries: np.ndarray, parts: np.ndarray, sample: np.ndarray, home: np.ndarray, k: int) -> np.ndarray:
+    """For each query a score that at least k sampled rows of the parts it visits reach: no worse row is among its k best.
+
+    parts: a row of parts for each query; home: the parts of the sampled rows.
+    """
+    out = np.full(len(queries), -np.inf)
+    for a in range(0, len(queries) if len(sample) >= k else 0, 512):
+        visited = np.zeros((len(parts[a : a + 512]), int(home.max()) + 1), bool)
+        inside = parts[a : a + 512] <= home.max()
+        visited[np.nonzero(inside)[0], parts[a : a + 512][inside]] = True
+        score = np.where(visited[:, home], queries[a : a + 512] @ sample.T, -np.inf)
+        out[a : a + 512] = -np.partition(-score, k - 1, axis=1)[:, k - 1]
+    return out
+
+
+def best(queries: np.ndarray, floor: np.ndarray, rows: np.ndarray, first: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query (places of rows, scores) of its k best rows that reach its floor, best first, ties by `first`, and of those equal to the last.
 
     Scores near the k-th are computed again in one order of summation, so that equal vectors score alike in every block.
     """
@@ -188,8 +203,8 @@ def best(queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, first: np.ndarr
     for a in range(0, len(queries), 512):
         part = queries[a : a + 512]
         rough = part @ rows.T
-        low = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
-        slack = 1e-12 * (1 + np.abs(rough).max(1))
+        low = np.maximum(-np.partition(-rough, k - 1, axis=1)[:, k - 1], floor[a : a + 512])
+        slack = 1e-12 * (1 + np.maximum(np.abs(rough).max(1), np.abs(np.where(np.isfinite(floor[a : a + 512]), floor[a : a + 512], 0))))
         for q, r, least in zip(part, rough, low - slack, strict=True):
             at = np.flatnonzero(r >= least)
             score = (rows[at] * q).sum(1)
@@ -206,13 +221,27 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _labelled(answer: Callable[[np.ndarray], np.ndarray], width: int):
-    """Adds `parts`, the answer for each vector."""
+def _filed(index: Index, width: int):
+    """Adds the part that each vector is filed under."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home = index.home(matrix(batch.column(batch.schema.names.index("v")), width))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int32())], names=[*batch.schema.names, "part"])
+
+    return work
+
+
+def _routed(index: Index, sample: np.ndarray, width: int, k: int):
+    """Adds the parts that each query visits, and a score that k of the rows there reach."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home = index.home(sample)
         for batch in batches:
-            found = answer(matrix(batch.column(batch.schema.names.index("v")), width))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.tolist(), pa.list_(pa.int32()))], names=[*batch.schema.names, "parts"])
+            x = matrix(batch.column(batch.schema.names.index("v")), width)
+            parts = index.route(x)[:, : index.probes]
+            floor = floors(x, parts, sample, home, k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts.tolist(), pa.list_(pa.int32())), pa.array(floor, pa.float64())], names=[*batch.schema.names, "parts", "floor"])
 
     return work
 
@@ -223,7 +252,7 @@ def _scored(width: int, k: int):
         if rows.num_rows and queries.num_rows:
             ids = rows.column("ids").to_pylist()
             first = np.array([x[0] for x in ids])
-            for q, (at, score) in zip(queries.column("query_id").to_pylist(), best(matrix(queries.column("v"), width), first, matrix(rows.column("v"), width), first, k + 1), strict=True):
+            for q, (at, score) in zip(queries.column("query_id").to_pylist(), best(matrix(queries.column("v"), width), queries.column("floor").to_numpy(), matrix(rows.column("v"), width), first, k + 1), strict=True):
                 here = sorted((-s, i) for r, s in zip(at.tolist(), score.tolist(), strict=True) for i in ids[r] if i != q)[:k]
                 out[0] += [q] * len(here)
                 out[1] += [i for _, i in here]
@@ -255,7 +284,8 @@ def search(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", v
     The index is fitted on a sample of at most SAMPLE vectors, by a hash of the
     vector's least id; all rows are filed. Of equal vectors the k + 1 least ids
     are filed, since no more can be among k. Parts and their queries are scored
-    in pairs of blocks of about BLOCK, so a crowded part is many tasks.
+    in pairs of blocks of about BLOCK, so a crowded part is many tasks. A query
+    carries the score that k + 1 sampled rows of its parts reach, and no worse row leaves a block.
     """
     spark = rows.sparkSession
     clean = materialize(taking_part(rows, key, vector), "vectors")
@@ -264,15 +294,13 @@ def search(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", v
     distinct = materialize(distinct, "distinct")
     n, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     sample = distinct.select("v").orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).toArrow()
-    index = fit(matrix(sample.column("v"), width), n, k, recall)
-    probes = index.probes
+    sampled = matrix(sample.column("v"), width)
+    index = fit(sampled, n, k, recall)
 
     kind = distinct.schema["v"].dataType.simpleString()
-    filed = distinct.mapInArrow(_labelled(lambda x: index.home(x)[:, None], width), f"v {kind}, ids array<long>, parts array<int>")
-    filed = materialize(filed.select("v", "ids", F.col("parts")[0].alias("part")), "filed")
+    filed = materialize(distinct.mapInArrow(_filed(index, width), f"v {kind}, ids array<long>, part int"), "filed")
     asking = clean.where(queries).select("v", F.col("vec_id").alias("query_id"))
-    asking = asking.mapInArrow(_labelled(lambda x: index.route(x)[:, :probes], width), f"v {kind}, query_id long, parts array<int>")
-    asking = materialize(asking, "routed")
+    asking = materialize(asking.mapInArrow(_routed(index, sampled, width, k + 1), f"v {kind}, query_id long, parts array<int>, floor double"), "routed")
     # rows and queries of each part, at most MOST_PARTS numbers each, decide on its blocks
     blocks = lambda df: {r.part: -(-r.n // BLOCK) for r in df.groupBy("part").agg(F.count("*").alias("n")).collect()}
     of_rows, of_queries = blocks(filed), blocks(asking.select(F.explode("parts").alias("part")))
@@ -280,8 +308,8 @@ def search(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", v
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     x = filed.join(F.broadcast(pairs), "part").withColumn("b", F.pmod(F.xxhash64("ids"), F.col("of_rows")).cast("int"))
     x = x.select("part", "b", each("of_queries").alias("q"), "v", "ids")
-    y = asking.select("query_id", "v", F.explode("parts").alias("part")).join(F.broadcast(pairs), "part").withColumn("q", F.pmod(F.xxhash64("query_id"), F.col("of_queries")).cast("int"))
-    y = y.select("part", each("of_rows").alias("b"), "q", "v", "query_id")
+    y = asking.select("query_id", "v", "floor", F.explode("parts").alias("part")).join(F.broadcast(pairs), "part").withColumn("q", F.pmod(F.xxhash64("query_id"), F.col("of_queries")).cast("int"))
+    y = y.select("part", each("of_rows").alias("b"), "q", "v", "query_id", "floor")
     found = x.groupBy("part", "b", "q").cogroup(y.groupBy("part", "b", "q")).applyInArrow(_scored(width, k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
