@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of a query side that may be broadcast; beyond it a join is keyed or refused.
-BROADCAST_ROWS = 100_000
-
-
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
     """df with `value` of dim; rows without a match stay, with status `failed`."""
     found = df.join(dim.select(key, value), key, "left")
@@ -55,18 +51,6 @@ def unique_candidate(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFra
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.min(id_col).alias(id_col)).where("n = 1").drop("n")
 
 
-def contains_join(texts: DataFrame, text: str, anchors: DataFrame, anchor: str) -> DataFrame:
-    """Every (text row, anchor row) where the text contains the anchor; empty and null anchors match nothing.
-
-    Anchors are a query set: they are broadcast after their number is checked,
-    and each text is searched once for each, in blocks, without a shuffle.
-    """
-    wanted = anchors.where(F.coalesce(F.length(anchor), F.lit(0)) > 0)
-    if (n := wanted.count()) > BROADCAST_ROWS:
-        raise ValueError(f"{n} anchors; search for at most {BROADCAST_ROWS} at a time")
-    return texts.join(F.broadcast(wanted), F.contains(text, anchor))
-
-
 def missing_anchors(anchors: DataFrame, texts: DataFrame, key: str, anchor: str, text: str, place: str) -> DataFrame:
     """Anchors that their document's texts, joined in order, don't contain."""
     whole = texts.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(place, text))), lambda x: x[text]), "\n").alias("_whole"))
@@ -82,35 +66,6 @@ def select_todo(targets: DataFrame, done: DataFrame, key: str, only: Sequence[st
     return out.orderBy(key).limit(limit) if limit else out
 
 
-def close_names(names: DataFrame, pool: DataFrame, key: Column, ratio: float = 0.6, top: int = 3) -> DataFrame:
-    """For each name the pool's equal normalised name, else its closest ones.
-
-    names, pool: id and name. Returns id, match_id and score (1 if equal); the
-    score is one less the edit distance over the longer length. A score of
-    `ratio` needs so large a share of equal characters, counted with repeats, so
-    names are joined on the rarest ones of their characters, as many as make sure
-    that every pair with enough in common meets; no pair is lost.
-    """
-    a = names.select("id", key.alias("k"))
-    b = pool.select(F.col("id").alias("match_id"), key.alias("k"))
-    equal = a.join(b, "k").select("id", "match_id", F.lit(1.0).alias("score"))
-    rest = a.join(equal.select("id"), "id", "left_anti")
-    distinct = rest.select("k").union(b.select("k")).where(F.col("k") != "").distinct()
-    chars = distinct.select("k", F.explode(F.filter(F.split("k", ""), lambda c: c != "")).alias("c")).groupBy("k", "c").agg(F.count("*").alias("m"))
-    chars = chars.select("k", "c", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("no"))
-    rare = chars.groupBy("c", "no").agg(F.count("*").alias("df"))
-    order = F.row_number().over(Window.partitionBy("k").orderBy("df", "c", "no"))
-    first = chars.join(rare, ["c", "no"]).withColumn("place", order).where(F.col("place") <= F.length("k") - F.ceil(ratio * F.length("k")) + 1).select("k", "c", "no")
-    x = first.join(rest.select("k").distinct(), "k", "left_semi").withColumnRenamed("k", "k")
-    y = first.join(b.select("k").distinct(), "k", "left_semi").withColumnRenamed("k", "other")
-    sizes = F.least(F.length("k"), F.length("other")) >= ratio * F.greatest(F.length("k"), F.length("other"))
-    score = 1 - F.levenshtein("k", "other") / F.greatest(F.length("k"), F.length("other"), F.lit(1))
-    near = x.join(y, ["c", "no"]).where(sizes).select("k", "other").distinct().withColumn("score", score).where(F.col("score") >= ratio)
-    near = rest.join(near, "k").join(b.withColumnRenamed("k", "other"), "other").select("id", "match_id", "score")
-    turn = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "match_id"))
-    return equal.unionByName(near.withColumn("_turn", turn).where(F.col("_turn") <= top).drop("_turn"))
-
-
 def best_table(chunks: DataFrame, inventory: DataFrame, least: int = 12) -> DataFrame:
     """The best scored inventory table of each chunk in its document, if it scores enough.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstack.functions import text as T
 from quillstack.functions import values as V
-from quillstack.operators import dedup, matching, metadata, profile
+from quillstack.operators import anchors, dedup, matching, metadata, profile
 from quillstack.session import table
 
 LONG = "long"
@@ -128,8 +128,8 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchor_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    anchors = table(spark, sf_dir, "benchmark").select("item_id", F.left("text", F.lit(60)).alias("anchor"))
-    return matching.contains_join(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", anchors, "anchor").select("item_id", "doc_id")
+    wanted = table(spark, sf_dir, "benchmark").select("item_id", F.left("text", F.lit(60)).alias("anchor"))
+    return anchors.contains_join(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", wanted, "anchor").select("item_id", "doc_id")
 
 
 def resume_left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillstack.plans import archive, linked, pieces
+from quillstack.plans import archive, found, linked, pieces
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (archive, linked, pieces):
+for _module in (archive, linked, pieces, found):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

@@ -35,11 +35,6 @@ def test_needs_transcription(spark):
     assert [r.id for r in df.where(metadata.needs_transcription(*map(F.col, ("ok", "c", "w", "q", "r")))).collect()] == [2, 4]
 
 
-def test_close_names(spark):
-    names, pool = spark.createDataFrame([(1, "report a"), (2, "report b")], "id long, name string"), spark.createDataFrame([(7, "report a"), (8, "reports b")], "id long, name string")
-    assert [(r.id, r.match_id) for r in matching.close_names(names, pool, F.col("name")).orderBy("id", "match_id").collect() if r.score > 0.88] == [(1, 7), (2, 8)]
-
-
 def test_best_table(spark):
     chunks = spark.createDataFrame([(1, 1, "head one | head two | 5"), (1, 2, "nothing")], "doc_id int, chunk_id int, content string")
     inventory = spark.createDataFrame([(1, 0, ["head one"], ["9"]), (1, 1, ["head one", "head two"], ["5"])], "doc_id int, place int, headers array<string>, body array<string>")
