@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillstack.functions import text
+from quillstack.operators.components import components
 
 SEP = "<SEP>"
 
@@ -101,6 +102,56 @@ def contract(edges: DataFrame, aliases: DataFrame) -> DataFrame:
     return merge_edges(edges)
 
 
+def canonical(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(name, canonical, turn) of all nodes: names linked by alias pairs (a, b), in any direction and over any chain, are one.
+
+    nodes: name and place. The first of a group by place, then name, is canonical;
+    turn numbers the group's nodes from 0 in that order. Pairs of a name that is
+    no node still link their other ends, as long as one node is in the group.
+    """
+    roots = components(pairs).withColumnRenamed("node", "name")
+    x = nodes.select("name", "place").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+    first = x.groupBy("root").agg(F.min(F.struct("place", "name")).alias("first"))
+    order = Window.partitionBy("root").orderBy("place", "name")
+    return x.join(first, "root").select("name", F.col("first.name").alias("canonical"), (F.row_number().over(order) - 1).alias("turn"))
+
+
+def merge_aliases(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) with linked nodes merged into the first of their group.
+
+    nodes: name, place, type, description and sources (an array); edges: source,
+    target, weight, description, keywords and sources (arrays), one for each
+    unordered pair. A merged node has the type of the first, the descriptions of
+    all in order of place, joined by SEP, and the sorted union of their sources.
+    Edges within a group go; edges that come to join the same two nodes are one:
+    weights summed, descriptions in the order of the merged nodes (that of the
+    lesser end, then of the greater one), keywords and sources as sorted unions.
+    Edges with an end that is no node go, too.
+    """
+    called = canonical(nodes, pairs)
+    x = nodes.join(called, "name")
+    in_order = lambda value, *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, value.alias("_value")))), lambda r: r["_value"])
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
+    said = lambda c: F.coalesce(c, F.lit(""))
+    merged = x.groupBy(F.col("canonical").alias("name")).agg(
+        F.min_by("type", "turn").alias("type"), F.array_join(in_order(said(F.col("description")), "turn"), SEP).alias("description"), union(F.col("sources")).alias("sources"),
+        F.min("place").alias("place"), F.count("*").cast("int").alias("merged"),
+    )
+    for end in ("source", "target"):
+        names = called.select(F.col("name").alias(end), F.col("canonical").alias(f"_{end}"), F.col("turn").alias(f"_{end}_turn"))
+        edges = edges.join(names, end)
+    low = F.col("_source") < F.col("_target")
+    e = edges.where("_source <> _target").select(
+        F.least("_source", "_target").alias("_a"), F.greatest("_source", "_target").alias("_b"),
+        F.when(low, F.col("_source_turn")).otherwise(F.col("_target_turn")).alias("_t"), F.when(low, F.col("_target_turn")).otherwise(F.col("_source_turn")).alias("_u"),
+        F.when(F.coalesce(F.col("weight"), F.lit(0.0)) == 0, 1.0).otherwise(F.col("weight")).alias("weight"), "description", "keywords", "sources",
+    )
+    joined = e.groupBy(F.col("_a").alias("source"), F.col("_b").alias("target")).agg(
+        F.round(F.sum("weight"), 2).alias("weight"), F.array_join(in_order(said(F.col("description")), "_t", "_u"), SEP).alias("description"), union(F.col("keywords")).alias("keywords"), union(F.col("sources")).alias("sources")
+    )
+    return merged, joined
+
+
 def reverse_index(edges: DataFrame, types: DataFrame, source_type: str, target_type: str) -> DataFrame:
     """(key, values): for each node of the one type its neighbours of the other, distinct and sorted, in either direction."""
     kind = types.select("name", F.lower("type").alias("kind"))
