@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Characters that sheet names may not hold, and those that are cut at their ends.
+FORBIDDEN, CUT_END = r"[\\/:*?\[\]]", r"[; ；,，\-(]+$"
+
 
 def islands(df: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
     """First, last and size of each stretch of consecutive whole numbers of a key; repeats count once."""
@@ -70,15 +73,29 @@ def image_groups(files: DataFrame, path: str) -> DataFrame:
     return x.groupBy(key.alias("group")).agg(F.transform(pages, lambda p: p["rel"]).alias("pages"), F.count("*").alias("n"))
 
 
+def sheet_base(title: Column, length: int = 31) -> Column:
+    """A title without forbidden characters and white space, cut to the length, without the ending that a cut may leave; never empty."""
+    bare = F.regexp_replace(F.regexp_replace(title, FORBIDDEN, ""), r"(?U)[\s\x1c-\x1f]+", "")
+    base = F.regexp_replace(F.left(bare, F.lit(length)), CUT_END, "")
+    return F.when(base != "", base).otherwise("Sheet1")
+
+
 def sheet_names(titles: DataFrame, workbook: str, order: str, title: str, length: int = 31) -> DataFrame:
-    """titles with `sheet`, a name that is legal and, in any case, unique in its workbook; repeats get `~1`, `~2` and so on.
+    """titles with `sheet`: legal names that are unique in their workbook, in any case, in order of `order`.
 
-    Two names that are equal only after the suffix is set are not told apart again.
+    A name that an earlier sheet has, as its own or by its number, gets the first
+    of `~1`, `~2` and so on that none has. Null titles count as empty. Each name
+    depends on all earlier ones of its workbook, whose names are one array.
     """
-    bare = F.regexp_replace(F.regexp_replace(title, r"[\\/:*?\[\]]", ""), r"\s+", "")
-    base = F.regexp_replace(F.left(bare, F.lit(length)), r"[; ；,，\-(]+$", "")
-    x = titles.withColumn("_base", F.when(base != "", base).otherwise("Sheet1"))
-    turn = F.row_number().over(Window.partitionBy(workbook, F.lower("_base")).orderBy(order)) - 1
-    suffix = F.concat(F.lit("~"), F.col("_turn").cast("string"))
-    name = F.when(F.col("_turn") == 0, F.col("_base")).otherwise(F.concat(F.left("_base", length - F.length(suffix)), suffix))
-    return x.withColumn("_turn", turn).withColumn("sheet", name).drop("_base", "_turn")
+    base = sheet_base(F.coalesce(title, F.lit("")), length)
+    rows = titles.withColumn("_turn", F.row_number().over(Window.partitionBy(workbook).orderBy(order)) - 1)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_turn", base.alias("_base")))), lambda x: x["_base"])
+
+    def name(used: Column, base: Column) -> Column:
+        lower = F.transform(used, lambda u: F.lower(u))
+        numbered = F.transform(F.sequence(F.lit(1), F.size(used) + 1), lambda k: F.concat(F.left(base, length - F.length(F.concat(F.lit("~"), k.cast("string")))), F.lit("~"), k.cast("string")))
+        return F.filter(F.concat(F.array(base), numbered), lambda c: ~F.array_contains(lower, F.lower(c)))[0]
+
+    names = F.aggregate(F.col("_listed"), F.array().cast("array<string>"), lambda used, b: F.concat(used, F.array(name(used, b))))
+    found = rows.groupBy(workbook).agg(listed.alias("_listed")).select(F.col(workbook).alias("_workbook"), F.posexplode(names).alias("_place", "sheet"))
+    return rows.join(found, F.col(workbook).eqNullSafe(F.col("_workbook")) & (F.col("_turn") == F.col("_place"))).drop("_turn", "_workbook", "_place")

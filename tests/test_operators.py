@@ -125,3 +125,30 @@ def test_states(spark):
     with pytest.raises(RuntimeError, match="missing: r"):
         state.require_none(bad)
     state.require_none(bad.where("false"))
+
+
+def plain_sheets(titles):
+    import re
+
+    used, out = set(), []
+    for t in titles:
+        base = re.sub(r"\s+", "", re.sub(r"[\\/:*?\[\]]", "", t or ""))[:31].rstrip("; ；,，-(") or "Sheet1"
+        name, k = base, 1
+        while name.lower() in used:
+            name, k = base[: 31 - len(f"~{k}")] + f"~{k}", k + 1
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def test_sheet_names(spark):
+    """Names stay unique in any case, also where a title looks like a numbered one."""
+    books = {
+        "one": ["a", "a~1", "A", "a", "A~1", "a~1~1"],
+        "two": ["x" * 40, "X" * 35, "x" * 31, "x" * 29 + "~1", "", None, "sheet1", ":*?", "; (-"],
+        "three": ["b c\td", "bcd", "B:C:D-", "大坝，", "大坝", "\u3000大 坝"],
+    }
+    titles = spark.createDataFrame([(b, i, t) for b, ts in books.items() for i, t in enumerate(ts)] + [(None, 0, "q"), (None, 1, "Q")], "book string, place int, title string")
+    got = runs.sheet_names(titles, "book", "place", F.col("title")).orderBy("book", "place").collect()
+    for b, ts in {**books, None: ["q", "Q"]}.items():
+        assert [r.sheet for r in got if r.book == b] == plain_sheets(ts), b
