@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstack.operators.components import cut
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str) -> DataFrame:
     """df with `value` of dim; rows without a match stay, with status `failed`."""
     found = df.join(dim.select(key, value), key, "left")
@@ -23,6 +25,22 @@ def survivors(targets: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return targets.join(kept.select(key), key, "left_semi")
 
 
+def numbered(df: DataFrame, keys: Sequence[str], order: str, turn: str) -> DataFrame:
+    """df with the number of each row among those of its keys, from 1 in the given order; rows with a null key are left out.
+
+    Rows are dealt out by ranges of the order, numbered within (keys, range), and
+    moved on by the rows of the ranges before, so that no window holds all rows
+    of one key.
+    """
+    known = df.dropna(subset=list(keys))
+    x = cut(known.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    sizes = x.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(*keys, "_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order))
+    return x.withColumn("_place", place).join(offsets, [*keys, "_range"]).withColumn(turn, (F.col("_place") + F.col("_before")).cast("long")).drop("_range", "_place", "_before")
+
+
 def tiered_match(left: DataFrame, right: DataFrame, id_col: str, tiers: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
     """One-to-one pairs by the first tier of keys on which both sides have a row left, and the leftovers.
 
@@ -33,9 +51,8 @@ def tiered_match(left: DataFrame, right: DataFrame, id_col: str, tiers: Sequence
     """
     pairs = None
     for keys, name in zip(tiers, names, strict=True):
-        turn = F.row_number().over(Window.partitionBy(*keys).orderBy(id_col))
-        a = left.withColumn("_turn", turn).select(*keys, "_turn", F.col(id_col).alias("left_id"))
-        b = right.withColumn("_turn", turn).select(*keys, "_turn", F.col(id_col).alias("right_id"))
+        a = numbered(left, keys, id_col, "_turn").select(*keys, "_turn", F.col(id_col).alias("left_id"))
+        b = numbered(right, keys, id_col, "_turn").select(*keys, "_turn", F.col(id_col).alias("right_id"))
         found = a.join(b, [*keys, "_turn"]).select("left_id", "right_id", F.lit(name).alias("tier"))
         pairs = found if pairs is None else pairs.unionByName(found)
         left = left.join(found.select(F.col("left_id").alias(id_col)), id_col, "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillstack.functions import text as T
-from quillstack.operators import graph
+from quillstack.operators import anchors, graph
 
 #: The number of a table, and words before a figure's number that make it a reference.
 TABLE_NUMBER = r"表\s*((?:[0-9A-Z]+\s*\.\s*\d+(?:\s*\.\s*\d+)*(?:-\d+)?))"
@@ -96,13 +96,29 @@ def table_pages(densities: DataFrame, density: float = 0.03, fill: float = 0.02,
     return densities.where(((F.col("density") > density) & (F.col("fill") > fill)) | (F.col("line_rows") > rows))
 
 
-def finished(pages: DataFrame, names: Sequence[str] | Column, edges: DataFrame, events: DataFrame | None = None, most_events: int = 20) -> DataFrame:
+def link_pages(pages: DataFrame, names: DataFrame) -> DataFrame:
+    """pages (name, markdown and others) with the first mention of each other linkable name as a link, longer names first, then by name.
+
+    names: name. Pages meet names by anchors.contains_join, so a page carries
+    the names that it holds and no others, however many there are. Null texts are empty.
+    """
+    x = pages.withColumn("markdown", F.coalesce("markdown", F.lit("")))
+    wanted = names.where(T.linkable(F.col("name"))).select(F.col("name").alias("_name")).distinct()
+    met = anchors.contains_join(x.select(F.col("name").alias("_page"), "markdown"), "markdown", wanted, "_name").where(F.col("_name") != F.col("_page"))
+    longest = F.transform(F.array_sort(F.collect_set(F.struct((-F.length("_name")).alias("n"), "_name"))), lambda s: s["_name"])
+    own = met.groupBy("_page").agg(longest.alias("_names"))
+    x = x.join(own, F.col("name") == F.col("_page"), "left")
+    linked = T.linkify(F.col("markdown"), F.coalesce("_names", F.array().cast("array<string>")), F.coalesce("name", F.lit("")))
+    return x.withColumn("markdown", linked).drop("_page", "_names")
+
+
+def finished(pages: DataFrame, names: Sequence[str] | DataFrame, edges: DataFrame, events: DataFrame | None = None, most_events: int = 20) -> DataFrame:
     """pages (name, markdown) with links, a See-also section of new neighbours and, if events are given, a timeline.
 
-    names: linkable names, longest first. events: as graph.timeline returns them.
+    names: names to link, a table (name) of any size or a list. events: as graph.timeline returns them.
     """
-    index = names if isinstance(names, Column) else F.array(*map(F.lit, names)).cast("array<string>")
-    x = pages.withColumn("markdown", T.linkify(T.strip_section(F.coalesce("markdown", F.lit("")), "see also"), index, F.col("name")))
+    listed = names if isinstance(names, DataFrame) else pages.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    x = link_pages(pages.withColumn("markdown", T.strip_section(F.coalesce("markdown", F.lit("")), "see also")), listed)
     have = x.select(F.col("name").alias("node"), F.explode(T.wikilinks(F.col("markdown"))).alias("other"))
     more = graph.see_also(edges, existing=have).groupBy(F.col("node").alias("name")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "other"))), lambda s: F.concat(F.lit("- [["), s["other"], F.lit("]]"))).alias("_more"))
     x = x.join(more, "name", "left")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from quillstack.operators.matching import patch, upsert
 
@@ -20,6 +21,28 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def write_batch(df: DataFrame, path: str, number: int) -> None:
+    """A batch of a stream as JSON lines under its number. Written again after a failure it takes its own place, so it is there once."""
+    df.write.mode("overwrite").json(f"{path}/batch={number}")
+
+
+def append_stream(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """A writer that appends every batch once, however often it is tried; start it to run. Read with read_batches."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, number: write_batch(df, path, number))
+
+
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all batches that were written to their end, with `batch`; those of a batch that broke off aren't seen."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(at, "batch=*/_SUCCESS")) or []
+    whole = [m.getPath().getParent().toString() for m in marks]
+    if not whole:
+        return spark.createDataFrame([], schema).withColumn("batch", F.lit(None).cast("long"))
+    return spark.read.schema(f"{schema}, batch long").option("basePath", path).json(whole)
+
+
 def write_table(df: DataFrame, path: str, archive: str | None = None) -> None:
     """Replaces a table; a copy of the old one is kept first if a place for it is named."""
     spark = df.sparkSession

@@ -152,3 +152,18 @@ def test_sheet_names(spark):
     got = runs.sheet_names(titles, "book", "place", F.col("title")).orderBy("book", "place").collect()
     for b, ts in {**books, None: ["q", "Q"]}.items():
         assert [r.sheet for r in got if r.book == b] == plain_sheets(ts), b
+
+
+def test_numbered(spark):
+    """Numbers follow the order within each key, also where one key has most rows; the order may be of strings."""
+    import random
+
+    rows_ = [(("hot" if i % 4 else f"k{i % 7}") if i % 11 else None, i, f"{i:05d}") for i in range(900)]
+    random.Random(3).shuffle(rows_)
+    df = spark.createDataFrame(rows_, "k string, id long, s string")
+    for order in ("id", "s"):
+        got = matching.numbered(df, ["k"], order, "turn").collect()
+        by: dict = {}
+        for r in sorted(got, key=lambda r: r[order]):
+            by.setdefault(r.k, []).append(r.turn)
+        assert all(v == list(range(1, len(v) + 1)) for v in by.values()) and sum(map(len, by.values())) == sum(k is not None for k, _, _ in rows_)

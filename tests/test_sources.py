@@ -128,3 +128,32 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_schemas(spark):
     for ddl in (schemas.ENTRY, schemas.TRIAGE, schemas.TRANSCRIPTION, schemas.CHUNK, schemas.QUESTION, schemas.CASE, schemas.STATE, schemas.DOCUMENT):
         assert spark.createDataFrame([], ddl).count() == 0
+
+
+def test_batches_once(spark, tmp_path):
+    """A batch that is written and then fails is written again on restart, and is there once; half a batch isn't read."""
+    spark.range(40).repartition(4).write.json(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    real, calls = sinks.write_batch, []
+
+    def killed(df, path, number):
+        real(df, path, number)
+        calls.append(number)
+        if number == 2 and calls.count(2) == 1:
+            raise RuntimeError("killed after the write")
+
+    sinks.write_batch = killed
+    try:
+        query = sinks.append_stream(stream(), out, ck).trigger(availableNow=True).start()
+        with pytest.raises(Exception, match="killed"):
+            query.awaitTermination()
+        assert sinks.append_stream(stream(), out, ck).trigger(availableNow=True).start().awaitTermination(120)
+    finally:
+        sinks.write_batch = real
+    assert calls.count(2) == 2
+    got = sinks.read_batches(spark, out, "id long")
+    assert sorted(r.id for r in got.collect()) == list(range(40)) and got.select("batch").distinct().count() == len(set(calls))
+    (tmp_path / "out" / "batch=2" / "_SUCCESS").unlink()
+    assert sinks.read_batches(spark, out, "id long").where("batch = 2").count() == 0
+    assert sinks.read_batches(spark, str(tmp_path / "none"), "id long").count() == 0

@@ -53,3 +53,19 @@ def test_raster_and_gain(spark):
     assert wiki.table_pages(wiki.line_density(px, 0.5)).count() == 1
     scores = spark.createDataFrame([("a", True, True), ("a", False, False), ("b", True, False)], "case_id string, use_kg boolean, hit5 boolean")
     assert sorted((x.case_id, x.gain) for x in wiki.kg_gain(scores).collect()) == [("a", 1), ("b", 0)]
+
+
+def test_link_pages(spark):
+    """The same as folding over all names, longest first, while a page meets only those it holds."""
+    import random
+
+    rng = random.Random(9)
+    words = ["dam", "dam wall", "wall", "大坝", "大坝图纸", "river", "e", "ab12", "old river dam"]
+    pages = [(rng.choice(words) + str(i % 3), " ".join(rng.choice([*words, "and", "[[river]]", "."]) for _ in range(rng.randint(0, 12)))) for i in range(40)] + [("none", None)]
+    df = spark.createDataFrame(pages, "name string, markdown string")
+    names = spark.createDataFrame([(w,) for w in [*words, *words, "dam0", "zzz", None]], "name string")
+    order = sorted(set(words) | {"dam0", "zzz"}, key=lambda w: (-len(w), w))
+    from quillstack.functions import text as T
+
+    whole = df.select("name", T.linkify(F.coalesce("markdown", F.lit("")), F.array(*map(F.lit, order)), F.col("name")).alias("markdown"))
+    assert sorted(tuple(r) for r in wiki.link_pages(df, names).collect()) == sorted(tuple(r) for r in whole.collect())
