@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstack.operators.components import cut
+
 #: Characters that sheet names may not hold, and those that are cut at their ends.
 FORBIDDEN, CUT_END = r"[\\/:*?\[\]]", r"[; ；,，\-(]+$"
 
@@ -37,13 +39,55 @@ def merged(df: DataFrame, keys: Sequence[str], order: str, value: str, separator
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), separator)
 
 
-def continued(df: DataFrame, doc: str, order: str, aggressive: bool = False) -> DataFrame:
-    """Runs of a table and its continuations: same number as the one before and marked as continued, or, if `aggressive`, with the same header."""
-    last = lambda c: previous(c, [doc], order)
-    same = (F.col("number") == last("number")) & F.col("is_continued")
-    if aggressive:
-        same = same | ((F.col("number") == last("number")) & (F.col("header") == last("header")))
-    return runs(df, [doc], order, ~F.coalesce(same, F.lit(False)))
+def dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df dealt out by ranges of keys and order, with the number of the range in `_range`, for `carried` and `counted`."""
+    return cut(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+
+
+def _over_ranges(df: DataFrame, keys: Sequence[str], own: Column, before: Column, name: str, local: Column, join: Callable[[Column, Column], Column]) -> DataFrame:
+    """df with `name`, made of what a row has within its range and of what the ranges of its key before it hand on."""
+    each = df.groupBy(*keys, "_range").agg(own.alias("_own"))
+    handed = each.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_to"), before.alias("_handed"))
+    same = F.col("_range") == F.col("_to")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    x = df.withColumn("_local", local).join(handed, same, "left")
+    return x.withColumn(name, join(F.col("_local"), F.col("_handed"))).drop("_local", "_handed", "_to", *[f"_key{i}" for i in range(len(keys))])
+
+
+def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """dealt rows with the last value that isn't null among the rows before them in their key; no window holds all rows of a key."""
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    local = F.last("_value", ignorenulls=True).over(Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    own = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order)))
+    return _over_ranges(df.withColumn("_value", value), keys, own, F.last("_own", ignorenulls=True).over(before), name, local, F.coalesce).drop("_value")
+
+
+def counted(df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: Column, name: str) -> DataFrame:
+    """dealt rows with the number of rows up to and with them in their key for which `starts` holds."""
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    local = F.count_if("_starts").over(Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    add = lambda a, b: a + F.coalesce(b, F.lit(0))
+    return _over_ranges(df.withColumn("_starts", starts), keys, F.count_if("_starts"), F.sum("_own").over(before), name, local, add).drop("_starts")
+
+
+def continued(df: DataFrame, doc: str, order: str | Sequence[str], aggressive: bool = False) -> DataFrame:
+    """Runs of a table and its continuations: the number of the one before and marked as continued, or, if `aggressive`, with the header of the run's first table.
+
+    df: doc, the columns of order, number, is_continued, header. A null or empty
+    number continues nothing. Documents are cut into ranges; what a range ends
+    with is handed on, so a document with most of all tables is many tasks.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    x = dealt(df, [doc], order)
+    x = carried(x, [doc], order, F.struct("number"), "_before")
+    same = (F.col("number") == F.col("_before.number")) & (F.col("number").cast("string") != "")
+    x = x.withColumn("_first", ~F.coalesce(same, F.lit(False)))
+    marked = F.coalesce("is_continued", F.lit(False))
+    # the header of a run's first table is that of the last one that opened a run or isn't marked: unmarked ones stay only if theirs is equal
+    x = carried(x, [doc], order, F.when(F.col("_first") | ~marked, F.struct("header")), "_base")
+    fits = F.col("header").eqNullSafe(F.col("_base.header")) if aggressive else F.lit(False)
+    return counted(x, [doc], order, F.col("_first") | ~(marked | fits), "run").drop("_before", "_first", "_base", "_range")
 
 
 def merge_tables(df: DataFrame, doc: str, order: str) -> DataFrame:

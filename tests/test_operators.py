@@ -167,3 +167,28 @@ def test_numbered(spark):
         for r in sorted(got, key=lambda r: r[order]):
             by.setdefault(r.k, []).append(r.turn)
         assert all(v == list(range(1, len(v) + 1)) for v in by.values()) and sum(map(len, by.values())) == sum(k is not None for k, _, _ in rows_)
+
+
+def plain_runs(tables, aggressive):
+    out, run, base = [], 0, None
+    for number, marked, header in tables:
+        same = bool(number) and base is not None and number == base[0]
+        if not (same and (marked or (aggressive and header == base[1]))):
+            run, base = run + 1, (number, header)
+        out.append(run)
+    return out
+
+
+@pytest.mark.parametrize("aggressive", [False, True])
+def test_continued_tables(spark, aggressive):
+    """One document with most of the tables, many short ones, null numbers and headers."""
+    import random
+
+    rng = random.Random(6)
+    docs = {d: [(rng.choice(["1", "1", "2", "", None]), rng.random() < 0.4, rng.choice(["h", "h", "g", None])) for _ in range(400 if d == 0 else rng.randint(1, 9))] for d in range(25)}
+    rows_ = [(d, i // 7, i, *t) for d, ts in docs.items() for i, t in enumerate(ts)]
+    rng.shuffle(rows_)
+    df = spark.createDataFrame(rows_, "doc long, page int, place int, number string, is_continued boolean, header string")
+    got = runs.continued(df, "doc", ["page", "place"], aggressive).orderBy("doc", "place").collect()
+    for d, ts in docs.items():
+        assert [r.run for r in got if r.doc == d] == plain_runs(ts, aggressive)
