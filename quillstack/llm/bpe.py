@@ -6,7 +6,8 @@ leftmost pair of minimum rank until no pair is left. Long words are cut before,
 where no token of the vocabulary that occurs in them goes across: no merge can.
 In what is still long all pairs of the least rank are contracted at once, up to
 the first whose token makes a pair of a lower rank yet, with the same result in
-fewer rounds. Ordered aggregation gives a word's tokens; documents are put together
+fewer rounds; a part of WHOLE bytes or more takes the same rounds over arrays, since a
+query over it would outgrow its memory. Ordered aggregation gives a word's tokens; documents are put together
 from their words in order.
 
 Decoding joins the rows (document, position, token) of whole documents with the
@@ -29,8 +30,12 @@ REMEMBERED = 800_000
 #: Words in one recursive query, the length in bytes from which words are cut and pairs in runs contracted by turns, and
 #: bytes of these in one query.
 WORDS, LONG, BYTES = 50_000, 48, 20_000
+#: Bytes from which a word's part, that no cut divides, is contracted in arrays: the windows of a query over it would take
+#: some 250 bytes of memory a byte, and must not spill.
+WHOLE = 200_000
 #: Tokens decoded in one query; a longer document takes several.
 TOKENS = 1_000_000
+NO_PAIR = np.iinfo(np.int32).max
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 #: Short words: a round unfolds each word to rows (word, position), joins neighbours with the merge table, and contracts
@@ -91,6 +96,49 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"l": pa.array(left, kind), "r": pa.array(right, kind), "id": pa.array(ids, kind)})
 
 
+class Pairs:
+    """The merge table as sorted keys, for whole arrays of pairs."""
+
+    def __init__(self, merges: pa.Table):
+        left, right, ids = (merges.column(c).to_numpy().astype(np.int64) for c in ("l", "r", "id"))
+        order = np.argsort((left << 32) | right)
+        self.keys, self.ids = ((left << 32) | right)[order], ids[order].astype(np.int32)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token of each pair, NO_PAIR if it has none. Taken in blocks, so that little beside the result is held."""
+        out = np.full(len(left), NO_PAIR, np.int32)
+        for k in range(0, len(left) if len(self.keys) else 0, 2**18):
+            key = (left[k : k + 2**18].astype(np.int64) << 32) | right[k : k + 2**18]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[k : k + 2**18] = np.where(self.keys[at] == key, self.ids[at], NO_PAIR)
+        return out
+
+    def contract(self, ids: np.ndarray) -> np.ndarray:
+        """The tokens of one long word by the rounds of RUNS: all pairs of the least rank, up to the first that makes a lower one."""
+        while len(ids) > 1:
+            rank = self.ranks(ids[:-1], ids[1:])
+            least = rank.min()
+            if least == NO_PAIR:
+                break
+            at = np.flatnonzero(rank == least)
+            del rank
+            token = np.full(len(at), least, np.int32)
+            before = np.where(at > 0, self.ranks(ids[np.maximum(at - 1, 0)], token), NO_PAIR)
+            behind = np.where(at + 2 < len(ids), self.ranks(token, ids[np.minimum(at + 2, len(ids) - 1)]), NO_PAIR)
+            undercut = (before < least) | (behind < least) | (self.ranks(token, token) < least)
+            if undercut.any():
+                at = at[: int(np.argmax(undercut)) + 1]
+            first = np.ones(len(at), bool)  # of pairs that overlap, in a run, every second is contracted
+            first[1:] = at[1:] != at[:-1] + 1
+            at = at[(at - np.maximum.accumulate(np.where(first, at, 0))) % 2 == 0]
+            ids = ids.copy()
+            ids[at] = least
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids = ids[stay]
+        return ids
+
+
 class Bpe:
     """Encoder and decoder of one rank file, in one process. Its database is in memory and never spills to disk."""
 
@@ -102,7 +150,8 @@ class Bpe:
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.find = regex.compile(pattern).findall
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        merges = merge_table(self.ranks)  # noqa: F841  read by name
+        merges = merge_table(self.ranks)
+        self.pairs = Pairs(merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         named = pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())})  # noqa: F841  read by name
         self.db.execute("CREATE TABLE tokens AS SELECT * FROM named")
@@ -135,8 +184,10 @@ class Bpe:
         distinct = list(number)
         sizes = np.array([len(x) for x in distinct])
         out: list[list[int]] = [[] for _ in distinct]
+        for i in np.flatnonzero(sizes >= WHOLE):
+            out[i] = self.pairs.contract(self.bytes[np.frombuffer(distinct[i], np.uint8)]).tolist()
         for runs in (False, True):
-            which = np.flatnonzero((sizes > LONG) == runs)
+            which = np.flatnonzero(((sizes > LONG) == runs) & (sizes < WHOLE))
             if runs:
                 turn = np.cumsum(sizes[which]) // BYTES
                 batches = [which[turn == t] for t in np.unique(turn)]

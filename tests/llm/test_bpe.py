@@ -45,6 +45,20 @@ def test_long_words(model, plain):
         assert time.process_time() - began < 60
 
 
+def test_whole_parts(model, plain, monkeypatch):
+    """Rounds over arrays give the same ids, on short words and on runs that a query's memory doesn't hold."""
+    r = Random(7)
+    monkeypatch.setattr(B, "WHOLE", 2)
+    fresh = B.Bpe(BPE["ranks"], BPE["pattern"])
+    words = ["".join(r.choice(alphabet) for _ in range(r.randint(2, 90))) for alphabet in ("ab", "a", "aeiounst", "0123456789abcdef", "日本語の") for _ in range(60)]
+    for w in [*words, "aab" * 300, "ationation" * 50, " " * 900]:
+        assert fresh.encode(w) == plain(w)
+    monkeypatch.undo()
+    for w in ("a" * 5_000_000, "ab" * 2_500_000, "日本" * 1_000_000):
+        ids = model.encode(w)
+        assert ids == plain(w) and model.decode(ids) == w.encode()
+
+
 def test_runs(model, plain, monkeypatch):
     """The query for long words gives the same ids for short ones."""
     monkeypatch.setattr(B, "LONG", 3)
