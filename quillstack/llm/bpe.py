@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 REMEMBERED = 800_000
 #: Words in one recursive query, the length in bytes from which words are cut and pairs in runs contracted by turns, and
 #: bytes of these in one query.
-WORDS, LONG, BYTES = 50_000, 48, 20_000
+WORDS, LONG, BYTES = 16_000, 48, 20_000
 #: Bytes from which a word's part, that no cut divides, is contracted in arrays: the windows of a query over it would take
 #: some 250 bytes of memory a byte, and must not spill.
 WHOLE = 200_000
@@ -42,9 +42,9 @@ OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: the word's least (rank, position); a word without any isn't looked at again.
 SHORT = """
 WITH RECURSIVE t(w, ids) USING KEY (w) AS (
-  SELECT w, list(id ORDER BY pos) FROM base GROUP BY w
+  SELECT w, ids FROM base
   UNION
-  SELECT t.w, list_concat(list_concat(list_slice(ids, 1, spot - 1), [best::INTEGER]), list_slice(ids, spot + 2, len(ids)))
+  SELECT t.w, list_concat(ids[:spot - 1], [best::INTEGER], ids[spot + 2:])
   FROM t JOIN (
     SELECT p.w, min((m.id::BIGINT << 40) | p.pos) >> 40 AS best, min((m.id::BIGINT << 40) | p.pos) & 1099511627775 AS spot
     FROM (SELECT w, unnest(ids[:-2]) AS l, unnest(ids[2:]) AS r, unnest(range(1, len(ids))) AS pos FROM t) p
@@ -196,9 +196,11 @@ class Bpe:
             for part in batches:
                 n = sizes[part]
                 raw = np.frombuffer(b"".join(distinct[i] for i in part), np.uint8)
-                base = pa.table({  # noqa: F841  read by name in the query
-                    "w": np.repeat(part, n), "pos": np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n), "id": self.bytes[raw]
-                })
+                if runs:  # as rows (word, position, token), short words as lists of tokens; read by name in the queries
+                    base = pa.table({"w": np.repeat(part, n), "pos": np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n), "id": self.bytes[raw]})
+                else:
+                    edges = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    base = pa.table({"w": part, "ids": pa.ListArray.from_arrays(pa.array(edges), pa.array(self.bytes[raw]))})  # noqa: F841
                 found = self.db.sql(RUNS if runs else SHORT).to_arrow_table() if len(raw) else None
                 if found is not None:
                     for w, ids in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
