@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words that a worker remembers; beyond it those not seen lately are forgotten. It affects no result.
-REMEMBERED = 800_000
+REMEMBERED = 1_600_000
 #: Words in one recursive query, the length in bytes from which words are cut and pairs in runs contracted by turns, and
 #: bytes of these in one query.
 WORDS, LONG, BYTES = 16_000, 48, 20_000
