@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder (tests, one machine).
-LOCAL_CHECKPOINTS = "/tmp/checkpoints/quillstack"
+from quillstack.session import shared_root
 
 
 def cut(df: DataFrame) -> DataFrame:
     """df without its lineage, written to the shared folder of spark.checkpoint.dir."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir")
-        if not named and not re.match(r"local(\[|$)", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(named or LOCAL_CHECKPOINTS)
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 

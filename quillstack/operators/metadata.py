@@ -39,10 +39,9 @@ def classify(path: Column, folders: Mapping[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in folders.items() for x in kv]), F.substring_index(path, "/", 1))
 
 
-def unknown_folders(df: DataFrame, path: str, folders: Mapping[str, str]) -> list[str]:
-    """First segments without a dataset, all of them, for one error message."""
-    top = F.substring_index(path, "/", 1)
-    return [r[0] for r in df.where(classify(F.col(path), folders).isNull()).select(top).distinct().orderBy(top).limit(1000).collect()]
+def unknown_folders(df: DataFrame, path: str, folders: Mapping[str, str]) -> DataFrame:
+    """(folder, n): every first segment without a dataset and its rows; state.require_none makes an error of them."""
+    return df.where(classify(F.col(path), folders).isNull()).groupBy(F.substring_index(path, "/", 1).alias("folder")).agg(F.count("*").alias("n"))
 
 
 def derive(df: DataFrame, path: str, latest_year: int, categories: Mapping[str, str] | None = None, unknown: str = "未知") -> DataFrame:

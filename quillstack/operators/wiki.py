@@ -131,10 +131,15 @@ def finished(pages: DataFrame, names: Sequence[str] | DataFrame, edges: DataFram
     return x.select("name", F.concat_ws("", *parts).alias("markdown"))
 
 
-def index_groups(nodes: DataFrame, unit: str) -> DataFrame:
-    """Names by type, in order; the unit's type comes first."""
-    x = nodes.groupBy("type").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("name")), "|").alias("names"))
-    return x.withColumn("place", F.row_number().over(Window.orderBy(F.col("type") != unit, "type")))  # a row a type
+def index_rows(nodes: DataFrame, unit: str) -> DataFrame:
+    """(type, place, n, name): distinct names under their type, of which the unit's is the first; place numbers types, n counts names.
+
+    A name is a row, so a type may have any number of them; sort by place and name to write the index.
+    """
+    names = nodes.select("type", "name").where("type is not null and name is not null").distinct()
+    types = names.groupBy("type").agg(F.count("*").alias("n"))
+    types = types.withColumn("place", F.row_number().over(Window.orderBy(F.col("type") != unit, "type")))  # a row a type
+    return names.join(types, "type").select("type", "place", "n", "name")
 
 
 def matrix(questions: DataFrame, modes: DataFrame, most_modes: int = 100) -> DataFrame:

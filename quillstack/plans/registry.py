@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillstack.plans import archive, found, linked, pieces
+from quillstack.plans import archive, evidence, found, linked, pieces, stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (archive, linked, pieces, found):
+for _module in (archive, linked, pieces, found, stored, evidence):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

@@ -43,7 +43,7 @@ def test_pages(spark):
     out = wiki.finished(pages, ["dam one", "river", "lake"], edges, graph.timeline(incident, [])).first().markdown
     assert out == "The [[river]].\n## Next\nx\n\n## See also\n- [[lake]]\n\n## 时间线\n- 2010年、[[lake]]"
     nodes = spark.createDataFrame([("b", "z"), ("a", "z"), ("c", "unit")], "name string, type string")
-    assert [(r.type, r.names) for r in wiki.index_groups(nodes, "unit").orderBy("place").collect()] == [("unit", "c"), ("z", "a|b")]
+    assert [(r.type, r.n, r.name) for r in wiki.index_rows(nodes, "unit").orderBy("place", "name").collect()] == [("unit", 1, "c"), ("z", 2, "a"), ("z", 2, "b")]
 
 
 def test_raster_and_gain(spark):
