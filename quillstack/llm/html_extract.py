@@ -9,7 +9,10 @@ where the word leaves little doubt. The content region is the article or main
 elements with lines of the content cluster, if these hold most of its text, else
 the deepest element that holds all such lines. All lines of the region are the
 article, but for elements that are by tag or role not part of it, and those that
-were judged to be boilerplate.
+were judged to be boilerplate. Reader comments go whatever their ratio: those in
+a list or section of comments, those with a sibling of their kind, and those
+that are signed. A doubtful word says nothing of a paragraph within an article,
+and more of an element whose own text speaks of cookies and the like.
 """
 
 from __future__ import annotations
@@ -45,19 +48,34 @@ SURE = frozenset(
 DOUBTFUL = frozenset(
     "banner promo promotion promoted notice notices disclaimer comment replies discussion share sharing social related recommended overlay skip widget login search tags toc toolbar".split()
 )
+#: Words that even a paragraph of an article isn't named by, those that sign a comment, and those of a notice's text.
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored cookie cookies consent gdpr paywall newsletter subscribe signup".split())
+SIGNED = frozenset("author byline avatar username user reply date time timestamp posted".split())
+NOTICE = re.compile(r"\b(?:cookies?|gdpr|newsletter|advertisement|advertorial|sponsored|adblock(?:er)?|subscribe|privacy policy)\b", re.I)
+#: Parts of a name that make `comment` a list or section of comments, parts that end a name written as one word, and states of a page.
+LISTS = "list|section|area|thread|box|block|wrap|wrapper|container|feed|holder|panel|widget|template"
+ENDS = "bar|left|right|top|bottom|notice|banner|overlay|form|" + LISTS
+COMMENTS = re.compile(rf"[a-z]*comments(?:{LISTS})?|comment(?:{LISTS})")
+GLUED = re.compile("|".join(rf"[a-z]*{w}|{w}(?:{ENDS})" for w in sorted(SURE) if len(w) >= 6 and w != "comments"))
+STATES = frozenset("open closed on off enabled disabled count link number".split())
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 NAME = re.compile(r"(?:(has|with|no)[-_])?([a-z]+)", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements below which a region doesn't begin.
 LEAVES = HEADINGS | {"p", "pre", "li", "td", "th", "dd", "dt", "blockquote"}
+#: What counts of the ratio of reader comments, of elements named as boilerplate, and of those that may be.
+COMMENT, NAMED, DOUBT = 1e-9, 0.1, 1.0
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "number", "skip", "article", "doubt", "judged")
+    __slots__ = ("tag", "parent", "number", "skip", "article", "doubt", "judged", "comment", "signed", "comments", "titled")
 
     def __init__(self, tag: str, parent: _Node | None, number: int, skip: bool, article: bool, doubt: float):
         self.tag, self.parent, self.number, self.skip, self.article = tag, parent, number, skip, article
         self.doubt = doubt  # 0, or the share of its ratio that counts
         self.judged: _Node | None = self if doubt else parent.judged if parent else None  # the nearest element to be judged
+        self.comment = self.signed = self.titled = False  # named as one comment; holds a signature; holds the page's heading
+        self.comments = 0  # children that are named as comments
 
 
 class _Line:
@@ -67,10 +85,28 @@ class _Line:
         self.parts, self.node, self.tags, self.linked = [], node, 0, 0
 
 
-def named(value: str) -> float:
-    """How much of its ratio counts for an element with such a class or id: 0 if the name says nothing."""
-    words = {m[2].lower() for m in NAME.finditer(value) if not m[1]}
-    return 0.1 if words & SURE else 1.0 if words & DOUBTFUL else 0.0
+def named(value: str, leaf: bool = False) -> tuple[float, bool, bool]:
+    """How much of its ratio counts for an element with such a class or id (0 if the name says nothing), whether it is one comment, and a signature.
+
+    leaf: a paragraph of an article or something in one.
+    """
+    doubt, comment, signs = 0.0, False, False
+    for token in HUMP.sub("-", value).split():
+        words = {m[2].lower() for m in NAME.finditer(token) if not m[1]}
+        signs |= not words.isdisjoint(SIGNED)
+        said = any(COMMENTS.fullmatch(w) for w in words) or ("comment" in words and not words.isdisjoint(LISTS.split("|")))
+        if leaf:
+            own = NAMED if words & FOREIGN else 0.0
+        elif said and not words & STATES:
+            return COMMENT, False, signs
+        elif "comment" in words and not words & STATES:
+            comment, own = True, DOUBT
+        elif words & (SURE - {"comments"}) or any(GLUED.fullmatch(w) for w in words):
+            own = NAMED
+        else:
+            own = DOUBT if words & (DOUBTFUL - {"comment"}) else 0.0
+        doubt = min(doubt or own, own or doubt)
+    return doubt, comment, signs
 
 
 class LineParser(HTMLParser):
@@ -122,13 +158,23 @@ class LineParser(HTMLParser):
             self.line.tags += 1
         above = self.stack[-1]
         skip = above.skip or self._skips(tag, attrs, above.article)
-        doubt = 0.0
+        doubt, comment, signs = 0.0, False, tag == "time"
         if not skip and tag not in HEADINGS and (tag not in ("html", "body", "main", "article") or above.article):
             names = " ".join(v for k, v in attrs if k in ("class", "id") and v)
             if names:
-                doubt = named(names) or (0.0 if above.article else float("header" in names.lower().replace("-", " ").replace("_", " ").split()))
+                doubt, comment, signed = named(names, above.article and (tag in LEAVES or tag not in BLOCK))
+                signs |= signed
+                if not doubt and not above.article and "header" in names.lower().replace("-", " ").replace("_", " ").split():
+                    doubt = DOUBT
         node = _Node(tag, above, len(self.nodes), skip, above.article or tag in ("article", "main"), doubt)
         self.nodes.append(node)
+        if comment:
+            node.comment = True
+            above.comments += 1
+        if signs and above.judged is not None:
+            above.judged.signed = True
+        if tag == "h1" and above.judged is not None:
+            above.judged.titled = True
         self.open.setdefault(tag, []).append(len(self.stack))
         if tag in BLOCK:
             self.blocks.append(len(self.stack))
@@ -203,12 +249,15 @@ def two_means(values: list[float], apart: float = 1.0) -> float:
 def boilerplate(lines: list[_Line], ratios: list[float], cut: float, linked: float) -> set[_Node]:
     """The elements to be judged that are boilerplate: of a lower mean ratio than the cut, or mostly links, or in such a one."""
     sums: dict[_Node, list[float]] = {}
+    notices: set[_Node] = set()
     for x, r in zip(lines, ratios, strict=True):
         if x.node.judged is not None:
             s = sums.setdefault(x.node.judged, [0.0, 0, 0])
             s[0] += r * len(x.text)
             s[1] += len(x.text)
             s[2] += x.linked
+            if x.node.judged.doubt == DOUBT and NOTICE.search(x.text):
+                notices.add(x.node.judged)
     # sums of inner elements go to the outer ones, children before their parents
     todo = sorted(sums, key=lambda n: n.number)
     for node in list(todo):
@@ -225,7 +274,14 @@ def boilerplate(lines: list[_Line], ratios: list[float], cut: float, linked: flo
     out: set[_Node] = set()
     for node in todo:
         weighted, size, links = sums[node]
-        if node.parent.judged in out or math.log1p(node.doubt * weighted / size) < cut or links >= linked * size:
+        counts = node.doubt
+        if node.comment and (node.parent.comments > 1 or node.signed):
+            counts = COMMENT
+        elif node in notices:
+            counts = NAMED
+        if counts == COMMENT and node.titled:  # the page's heading is no comment: the name is that of the whole page
+            counts = DOUBT
+        if node.parent.judged in out or math.log1p(counts * weighted / size) < cut or links >= linked * size:
             out.add(node)
     return out
 

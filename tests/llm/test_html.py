@@ -79,6 +79,42 @@ def test_ratio_decides(page, want):
     assert main_text(page) == want
 
 
+LONG = "I have read this paper for years, and the reporting on our town has never been as careful as it was in this piece, so thank you. " * 8
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article>{P}<div class='comment-list'><div class='comment'><p>{LONG}</p></div></div></article>", TEXT),
+        (f"<article>{P}<div id='usercomments'><p>{LONG}</p></div></article>", TEXT),
+        (f"<article>{P}<div id='userComments'><p>{LONG}</p></div></article>", TEXT),
+        (f"<article>{P}<div><div class='comment'><p>{LONG}</p></div><div class='comment'><p>{LONG}</p></div></div></article>", TEXT),
+        (f"<article>{P}<div class='comment'><span class='author'>Ann</span><p>{LONG}</p></div></article>", TEXT),
+        (f"<main>{P}<ol class='commentlist'><li><article class='comment-body'><p>{LONG}</p></article></li></ol></main>", TEXT),
+        (f"<article>{P}<div class='comment'><p>{LONG}</p></div></article>", f"{TEXT}\n{LONG.strip()}"),
+        (f"<article>{P}<div class='commentary'><p>{LONG}</p></div></article>", f"{TEXT}\n{LONG.strip()}"),
+        (f"<div class='post comments-open'><h1>Title</h1>{P}</div>", f"Title\n{TEXT}"),
+        (f"<article><div class='post comment-section'><h1>Title</h1>{P}</div></article>", f"Title\n{TEXT}"),
+        (f"<div class='c-banner'><p>We use cookies to make this site better for you and for all others.</p></div><article>{P}</article>", TEXT),
+        (f"<article><div class='c-banner'><p>We use cookies to make this site better for you and for all others.</p></div>{P}</article>", TEXT),
+        (f"<article><div class='cookiebar'><p>By going on you agree to all of the terms of this site and of its partners.</p></div>{P}</article>", TEXT),
+        (f"<article>{P}<p class='related'>See ch. 4.</p><p class='search'>Short.</p>{P}</article>", f"{TEXT}\nSee ch. 4.\nShort.\n{TEXT}"),
+        (f"<article>{P}<p>by <span class='share'>a</span> part</p><p class='menu'>Soup</p><p class='ad'>Buy!</p></article>", f"{TEXT}\nby a part\nSoup"),
+    ],
+)
+def test_comments_and_notices(page, want):
+    """Comments by their place, siblings or signature; notices by their words; paragraphs of an article by no class word."""
+    assert main_text(page) == want
+
+
+def test_threshold_within_article(monkeypatch):
+    """Within an article the threshold decides on elements of a doubtful name."""
+    page = f"<article>{P * 3}<div class='promo'><p>Win a car.</p><p>Call now.</p></div>{P}</article>"
+    assert main_text(page) == "\n".join([TEXT] * 4)
+    monkeypatch.setattr(E, "two_means", lambda values: -1.0)
+    assert "Win a car." in main_text(page)
+
+
 def plain(page):
     """What lies between the article tags of the fixture's one layout, cut at block tags."""
     inner = re.search(r"(?s)<article>(.*?)</article>", page)[1]

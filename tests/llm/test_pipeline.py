@@ -71,3 +71,12 @@ def test_odd(spark, odd, none, tmp_path):
         spark.createDataFrame([(1, 1, None), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
         ids = {r.doc_id for r in C.run(spark, sf).collect()}
         assert ids <= {1, 2, 6, 7, None}
+
+
+def test_repeated_ids(spark):
+    """Of rows with one id and text the same one stays whatever their order; unlike texts under one id aren't lost."""
+    one, two = "one two three four five six seven eight", "other words of a text that is not like it at all"
+    rows = [(1, one, "b"), (1, one, "a"), (1, two, "c"), (2, one, "d"), (3, "nine ten", None), (3, None, None)]
+    found = [sorted(map(str, C.near_duplicates(spark, spark.createDataFrame(x, "doc_id long, text string, source string").repartition(n), "").collect())) for x, n in ((rows, 1), (rows[::-1], 3))]
+    assert found[0] == found[1]
+    assert len(found[0]) == 4 and sum("one two" in x for x in found[0]) == 1
