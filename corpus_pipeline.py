@@ -47,14 +47,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles the one of least doc_id stays, of repeated ids one row.
+    """Of documents linked by word shingles the one of least doc_id stays; of rows repeated with their id and text one.
 
-    Documents without words link with nothing and stay, as those without an id do. No rows give no rows.
+    Unlike texts under one id all stay or go with that id. Which of several rows
+    with one id and text stays is decided by their other columns, so a task that
+    is run again takes the same one. Documents without words link with nothing
+    and stay, as those without an id do. No rows give no rows.
     """
     found = jaccard_join.join(docs)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(0)))
-    one = carried(docs, "doc_id").join(kept, "doc_id", "left_semi").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+    others = [F.col("_held").getField(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
+    turn = F.row_number().over(Window.partitionBy("doc_id", F.sha2("text", 256)).orderBy(F.xxhash64(*others, F.lit(0)), *others))
+    one = carried(docs, "doc_id", "text").join(kept, "doc_id", "left_semi").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
     return restored(one, docs.columns).unionByName(docs.where("doc_id is null"))
 
 
