@@ -2,9 +2,11 @@
 
 The field tags tokens as begin (B), inside (I) or outside (O) of a secret from
 their shape, the words beside them and features of the file, and is decoded by
-Viterbi. Only long tokens that can be part of a secret (CANDIDATE), and tokens of
-any alphabet soon after a hint word, may be tagged B or I; all others are O by constraint. A constrained chain falls apart at its O
-tokens, so decoding the runs of candidates gives the best tags of whole texts.
+Viterbi. Long tokens that can be part of a secret (CANDIDATE), tokens of any
+alphabet soon after a hint word, and the password's place in an address may be
+tagged B or I; all others are O by constraint. A constrained chain falls apart
+at its O tokens, so decoding the runs of candidates gives the best tags of whole
+texts.
 
 It is trained here, on sentences made from a seed (TRAINING of them, TRAINING_SEED), so
 nothing is gathered from the corpus and every run has the same model.
@@ -38,11 +40,15 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*[0-9])[A-Za-z
 LETTER = re.compile(r"[A-Za-z]")
 WORD = re.compile(r"[A-Za-z_]+")
 #: Words that often stand before a secret.
-HINTS = frozenset("key apikey api token secret password passwd pwd auth bearer authorization credential credentials private access client signature webhook conn connection".split())
+HINTS = frozenset("key apikey api token secret password passwd pwd auth bearer authorization credential credentials private access client signature webhook conn connection pw passphrase passcode".split())
 HINT = re.compile(rf"(?<![A-Za-z])(?:{'|'.join(sorted(HINTS, key=len, reverse=True))})(?![A-Za-z])", re.I)
 #: Tokens of any alphabet; so many after a hint, in its line, may be tagged if they have LEAST characters.
 TOKEN = re.compile(r"[^\s\"'`<>,;:=][^\s\"'`<>,;]*")
 NEAR, LEAST = 3, 8
+#: A hint right before a token, and the password's place between the user and the host of an address.
+DIRECT = re.compile(HINT.pattern + r"[\s\"'`]*(?:(?:is|was|are|to)\b)?[\s\"'`:=]*$", re.I)
+USERINFO = re.compile(r"://[^\s/:@\"'`<>]{0,64}:([^\s/@\"'`<>]{6,128})@")
+USER = re.compile(r"://[^\s/:@\"'`<>]*:$")
 FEATURES, TRAINING, TRAINING_SEED = 4096, 2400, 7
 
 
@@ -67,13 +73,14 @@ def features(token: str, before: str, after: str, follows: bool, code: bool) ->
     entropy = -sum(k / n * math.log2(k / n) for k in (token.count(c) for c in set(token)))
     changes = sum(a.isdigit() != b.isdigit() or a.isupper() != b.isupper() for a, b in zip(token, token[1:], strict=False)) / n
     words = [w.lower() for w in WORD.findall(before)[-3:]]
+    direct, user, form = bool(DIRECT.search(before)), bool(after[:1] == "@" and USER.search(before)), shape(token)[:3]
     parts = max((len(p) for p in re.split(r"[/_.=~+-]", token)), default=0)
     names = [
         "bias", f"len{min(n, 64) // 8}", f"entropy{entropy:.0f}", f"entropy{2 * entropy:.0f}h", f"changes{int(8 * changes)}", f"shape{shape(token)}", f"head{shape(token[:6])}",
         *(f"{k}{int(4 * c / n)}" for k, c in zip("dlu", counts, strict=True)), f"part{min(parts, 40) // 5}", f"dots{min(token.count('.'), 3)}", f"slash{min(token.count('/'), 3)}",
         f"dash{min(token.count('-'), 5)}", f"pad{token.endswith('=')}", f"sep{before.rstrip()[-1:] if before.rstrip()[-1:] in '=:' else ''}", f"quote{before[-1:] in {chr(34), chr(39), '`'}}",
         f"at{after[:1] == '@' or before[-1:] == '@'}", f"url{'://' in before[-12:] or 'www' in token}", f"hint{any(p in HINTS for w in words for p in w.split('_'))}", f"code{code}", f"follows{follows}",
-        *(f"w{w}" for w in words[-1:]),
+        *(f"w{w}" for w in words[-1:]), f"direct{direct}", f"user{user}", f"direct{direct}{form}", f"direct{direct}{form}{min(n, 32) // 4}", f"form{form}{user}", f"hex{all(c in '0123456789ABCDEF' for c in token)}{direct}",
     ]
     return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
@@ -99,6 +106,8 @@ def tokens_of(text: str) -> list[list[tuple[int, int]]]:
             found.append((m.start(), m.start() + len(m[0].rstrip(".-")), m.end()))
     for a, b in near_hints(text):
         found.append((a, b, b))
+    if "://" in text:
+        found += [(m.start(1), m.end(1), m.end(1)) for m in USERINFO.finditer(text)]
     out: list[list[tuple[int, int]]] = []
     last = -10
     for start, end, after in sorted(found, key=lambda x: (x[0], -x[1])):
@@ -203,6 +212,12 @@ def training_chains(count: int = TRAINING, seed: int = TRAINING_SEED) -> list[tu
 
     def secret() -> list[str]:
         k = r.randrange(9)
+        if direct == 2:  # in an address
+            return [r.choice((some(low + up + dig, r.randint(8, 16)), some(low, 4).capitalize() + some(dig, 2) + r.choice("!$%_-") + some(low + dig, 5), some(low + dig, r.randint(8, 20))))]
+        if direct and r.random() < 0.4:  # weak ones, and phrases
+            return [r.choice((some(low, r.randint(4, 8)) + some(dig, r.randint(1, 4)) + some(low, r.randint(0, 5)) + some(dig, 1), some(low, r.randint(4, 8)) + some(dig, r.randint(1, 2)) + some(low, r.randint(3, 6)), some(low, r.randint(20, 32))))]
+        if not direct and k in (4, 6, 7, 8):  # these need their hint
+            k = r.randrange(4)
         if k == 6:
             return [some(low, r.randint(3, 7)).capitalize() + some(dig, r.randint(1, 3)) + some(low + dig, r.randint(3, 6))]
         if k == 7:
@@ -222,7 +237,16 @@ def training_chains(count: int = TRAINING, seed: int = TRAINING_SEED) -> list[tu
         return [some(b64, 64) for _ in range(r.randint(2, 4))]
 
     def alike() -> list[str]:
-        k = r.randrange(16)
+        k = r.randrange(20)
+        if direct == 2:
+            return [r.choice(("password", "username", "changeme", "yourpassword", "xxxxxxxx", "********", "<password>", "{password}", "$PASSWORD", "secret"))]
+        if k in (16, 17):  # numbers of orders, parts and the like, sums of files
+            n = r.choice((12, 16, 16, 18, 20, 24, 32, 40, 40, 64))
+            return [some("0123456789ABCDEF" if n >= 24 or r.random() < 0.4 else up + dig, n)]
+        if k == 18:
+            return ["".join(some(up, 4) + some(dig, 4) for _ in range(r.randint(2, 4)))]
+        if k == 19:
+            return ["-".join(some(up + dig, r.randint(3, 6)) for _ in range(r.randint(3, 5)))]
         if k in (10, 11, 12):
             return [some(low, r.randint(8, 16)) for _ in range(r.randint(1, 3))]
         if k == 13:
@@ -254,11 +278,20 @@ def training_chains(count: int = TRAINING, seed: int = TRAINING_SEED) -> list[tu
     chains = []
     for _ in range(count):
         good = r.random() < 0.5
-        parts = secret() if good else alike()
         hint = r.choice(sorted(HINTS)) if r.random() < (0.75 if good else 0.5) else word()
-        lead = r.choice((f"{hint} = \"", f"{hint}: ", f"{hint} is ", f"{word()} {hint} ", f"{word()}_{hint}='", f"{hint}=")) if r.random() < 0.8 else f"{word()} {word()} "
+        prose = f"{r.choice(('order', 'commit', 'checksum', 'invoice', 'serial', 'part', 'ref', 'sum', word(), word()))} "
+        direct = int(hint in HINTS)
+        if r.random() < 0.08:
+            direct, lead = 2, f"{r.choice(('jdbc:postgres', 'mysql', 'https', 'amqp', 'redis', 'ftp', word()))}://{word()}:"
+        elif r.random() < 0.8:
+            lead = r.choice((f"{hint} = \"", f"{hint}: ", f"{hint} is ", f"{hint} was ", f"{word()} {hint} ", f"{word()}_{hint}='", f"{hint}="))
+        else:
+            direct, lead = 0, f"{word()} {prose}"
+        parts = secret() if good else alike()
+        if not good and direct == 1 and any(c.isdigit() for p in parts for c in p):  # what looks like one right after its hint is one
+            lead = r.choice((f"{hint} {word()} ", f"{hint} for {prose}", f"{word()} {prose}"))
         text = " ".join(word() for _ in range(r.randint(2, 8))) + " " + lead
-        text += ("\n" if len(parts) > 1 else " ").join(parts) + r.choice((" ", "\" ", "' ", ". ", "\n")) + word()
+        text += ("\n" if len(parts) > 1 else " ").join(parts) + (f"@{word()}.{word()}/{word()} " if direct == 2 else r.choice((" ", "\" ", "' ", ". ", "\n"))) + word()
         for run in tokens_of(text):
             inside = [any(text[a:b].rstrip(".-") in p or p in text[a:b] for p in parts) and good for a, b in run]
             tags = [0 if x and (not i or not inside[i - 1]) else 1 if x else 2 for i, x in enumerate(inside)]
@@ -360,7 +393,7 @@ def scan(docs: DataFrame, *, keep: list[str] | None = None, redacted: bool = Fal
     """Per row of docs (doc_id, text): numbers of base spans, their digest, and all spans as kind:start:end.
 
     Offsets are code points, ends exclusive. A null text counts as empty;
-    repeated rows give repeated results. `keep`: other columns to carry along;
+    repeated rows give repeated results, no rows none. `keep`: other columns to carry along;
     `redacted`: also the text with its secrets replaced. The rest is left out;
     a column to keep that has a result's name is an error.
     """
