@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from quillstack.operators.components import cut
@@ -128,18 +129,64 @@ def sheet_names(titles: DataFrame, workbook: str, order: str, title: str, length
     """titles with `sheet`: legal names that are unique in their workbook, in any case, in order of `order`.
 
     A name that an earlier sheet has, as its own or by its number, gets the first
-    of `~1`, `~2` and so on that none has. Null titles count as empty. Each name
-    depends on all earlier ones of its workbook, whose names are one array.
+    of `~1`, `~2` and so on that none has. Null titles count as empty. The first
+    of equal names keeps it. The others with the same characters left before `~`
+    and one digit are counted in order and take ~1 to ~9, those behind them are
+    counted anew with one character less for two digits, and so on. Only names
+    that can meet a title with a `~` of its own depend on all of them: these
+    families, told apart by the first characters, are named row by row in a
+    sorted partition.
     """
     base = sheet_base(F.coalesce(title, F.lit("")), length)
-    rows = titles.withColumn("_turn", F.row_number().over(Window.partitionBy(workbook).orderBy(order)) - 1)
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("_turn", base.alias("_base")))), lambda x: x["_base"])
-
-    def name(used: Column, base: Column) -> Column:
-        lower = F.transform(used, lambda u: F.lower(u))
-        numbered = F.transform(F.sequence(F.lit(1), F.size(used) + 1), lambda k: F.concat(F.left(base, length - F.length(F.concat(F.lit("~"), k.cast("string")))), F.lit("~"), k.cast("string")))
-        return F.filter(F.concat(F.array(base), numbered), lambda c: ~F.array_contains(lower, F.lower(c)))[0]
-
-    names = F.aggregate(F.col("_listed"), F.array().cast("array<string>"), lambda used, b: F.concat(used, F.array(name(used, b))))
-    found = rows.groupBy(workbook).agg(listed.alias("_listed")).select(F.col(workbook).alias("_workbook"), F.posexplode(names).alias("_place", "sheet"))
-    return rows.join(found, F.col(workbook).eqNullSafe(F.col("_workbook")) & (F.col("_turn") == F.col("_place"))).drop("_turn", "_workbook", "_place")
+    rows = titles.withColumn("_base", base).withColumn("_low", F.lower("_base"))
+    most = rows.groupBy(workbook).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    digits = len(str(most or 1))
+    # equal for a name and all that it may become; a final sigma is lower-cased by what follows it
+    family = F.left(F.translate(F.substring_index("_low", "~", 1), "ς", "σ"), F.lit(max(length - 1 - digits, 0)))
+    rows = rows.withColumn("_family", family)
+    largest = rows.groupBy(workbook, "_family").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    marked = rows.where(F.contains("_low", F.lit("~"))).select(F.col(workbook).alias("_book"), F.col("_family").alias("_kin")).distinct()
+    kin = F.col(workbook).eqNullSafe(F.col("_book")) & (F.col("_family") == F.col("_kin"))
+    plain, mixed = rows.join(marked, kin, "left_anti"), rows.join(marked, kin, "left_semi")
+    # whether a row still needs a number is part of the key, so that numbers count only those that do
+    turn = F.row_number().over(Window.partitionBy(workbook, "_low").orderBy(order))
+    x = plain.withColumn("sheet", F.when(turn == 1, F.col("_base")))
+    for d in range(1, len(str(largest or 1)) + 1):
+        stem = F.left("_base", F.lit(length - 1 - d))
+        turn = F.row_number().over(Window.partitionBy(workbook, F.lower(stem), F.col("sheet").isNull()).orderBy(order))
+        numbered = F.concat(stem, F.lit("~"), (turn + 10 ** (d - 1) - 1).cast("string"))
+        x = x.withColumn("sheet", F.coalesce("sheet", F.when(turn <= 9 * 10 ** (d - 1), numbered)))
+    one = mixed.repartition(workbook, "_family").sortWithinPartitions(workbook, "_family", order)
+    one = one.select(F.struct(*titles.columns).alias("_row"), F.struct(workbook, "_family").alias("_of"), "_base")
+    held = StructType([one.schema["_row"], StructField("sheet", StringType())])
+    found = one.mapInArrow(_namer(length), held).select(*[F.col("_row").getField(c).alias(c) for c in titles.columns], "sheet")
+    return x.select(*titles.columns, "sheet").unionByName(found)
+
+
+def _namer(length: int) -> Callable:
+    """Names the rows of one family after the other; memory is that of a family's names."""
+
+    def named(batches):
+        import pyarrow as pa
+
+        now, used, nexts = None, set(), {}
+        for batch in batches:
+            sheets = []
+            for of, base in zip(batch["_of"].to_pylist(), batch["_base"].to_pylist(), strict=True):
+                if of != now:
+                    now, used, nexts = of, set(), {}
+                sheet, d = base, 0
+                while sheet.lower() in used:
+                    # the number to try next for a stem and its count of digits; those before are taken for good
+                    stem = base[: length - 1 - d]
+                    n = nexts.get((stem, d), 10 ** (d - 1) if d else 0)
+                    if not d or n == 10**d:
+                        d += 1
+                        continue
+                    sheet = f"{stem}~{n}"
+                    nexts[stem, d] = n + 1
+                used.add(sheet.lower())
+                sheets.append(sheet)
+            yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(sheets, pa.string())], ["_row", "sheet"])
+
+    return named

@@ -192,3 +192,21 @@ def test_continued_tables(spark, aggressive):
     got = runs.continued(df, "doc", ["page", "place"], aggressive).orderBy("doc", "place").collect()
     for d, ts in docs.items():
         assert [r.run for r in got if r.doc == d] == plain_runs(ts, aggressive)
+
+
+def test_sheet_names_many(spark):
+    """Thousands of sheets of one book, with cut names and titles with numbers of their own, are named as one after the other is."""
+    import random
+
+    rng = random.Random(5)
+    books = {
+        "same": ["Plan"] * 1200,
+        "cut": [rng.choice(["y" * 27, "Y" * 28, "y" * 28 + "z"]) + rng.choice(["", "a", "bc", "bcd"]) for _ in range(1300)],
+        "own": [rng.choice(["p", "P~1", "p~2", "p~1~1", "q" * 30, "q" * 29 + "~1", "ΑΣ", "ας~1", "ασ"]) for _ in range(700)],
+    }
+    rows_ = [(b, i, t) for b, ts in books.items() for i, t in enumerate(ts)]
+    rng.shuffle(rows_)
+    titles = spark.createDataFrame(rows_, "book string, place int, title string")
+    got = runs.sheet_names(titles, "book", "place", F.col("title")).orderBy("book", "place").collect()
+    for b, ts in books.items():
+        assert [r.sheet for r in got if r.book == b] == plain_sheets(ts), b
