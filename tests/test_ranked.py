@@ -79,3 +79,25 @@ def test_merge_aliases(spark):
 
 def test_pre_score(spark):
     assert spark.range(1).select(retrieval.pre_score(F.lit(2.0), F.lit(0.5))).first()[0] == 0.502
+
+
+def test_cosine_blocks(spark, monkeypatch):
+    """The same rows in one block or many, in any number of queries; equal vectors by key, null ones and those of another length last."""
+    rng = random.Random(6)
+    vectors = [[round(rng.uniform(-1, 1), rng.choice([0, 1, 6])) for _ in range(3)] for _ in range(240)]
+    vectors = [v if any(v) else [1.0, 0.0, 0.0] for v in vectors] + [None, [1.0, None, 2.0], [1.0, 2.0]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "id long, v array<float>")
+    dot = retrieval.dot
+    pairs = df.select(F.col("id").alias("query"), F.col("v").alias("a")).join(df.select(F.col("id").alias("hit"), F.col("v").alias("b")), F.col("query") != F.col("hit"))
+    a, b = F.col("a"), F.col("b")
+    scored = pairs.select("query", "hit", F.round(dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), 6).alias("score")).collect()
+    for k in (5, 300):
+        want = set()
+        for q in range(len(vectors)):
+            best = sorted((r for r in scored if r.query == q), key=lambda r: (-9 if r.score is None else r.score, -r.hit), reverse=True)[:k]
+            want |= {(q, r.hit, r.score, i + 1) for i, r in enumerate(best)}
+        for sizes in ((4096, 32_768), (50, 60)):
+            monkeypatch.setattr(retrieval, "BLOCK_QUERIES", sizes[0])
+            monkeypatch.setattr(retrieval, "BLOCK_ROWS", sizes[1])
+            got = retrieval.cosine_topk(df, df, "id", "v", k)
+            assert {(r.query, r.hit, r.score, r["rank"]) for r in got.collect()} == want
