@@ -101,3 +101,14 @@ def test_cosine_blocks(spark, monkeypatch):
             monkeypatch.setattr(retrieval, "BLOCK_ROWS", sizes[1])
             got = retrieval.cosine_topk(df, df, "id", "v", k)
             assert {(r.query, r.hit, r.score, r["rank"]) for r in got.collect()} == want
+
+
+def test_floor_of_whole_scores(spark, monkeypatch):
+    """Frequent terms that can't outweigh rows of a rarer one make no candidates; equal queries are answered once."""
+    kept = []
+    monkeypatch.setattr(retrieval, "cut", lambda df: kept.append(df.localCheckpoint()) or kept[-1])
+    rows = spark.range(2000).select(F.col("id"), F.explode(F.array(F.lit("the"), F.lit("of"), F.concat(F.lit("w"), (F.col("id") % 200).cast("string")))).alias("term"))
+    asked = spark.createDataFrame([(q, t, 3.0) for q in (1, 2, 3) for t in ("the", "of", "w7")], "query long, term string, weight double")
+    got = retrieval.best_by_terms(rows, asked, "id", 3).orderBy("query", "rank").collect()
+    assert [(r.query, r.hit, r.tksim) for r in got] == [(q, 7 + 200 * i, 1.0) for q in (1, 2, 3) for i in range(3)]
+    assert [df.count() for df in kept if "hit" in df.columns] == [10]
