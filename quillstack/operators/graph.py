@@ -109,9 +109,9 @@ def canonical(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     turn numbers the group's nodes from 0 in that order. Pairs of a name that is
     no node still link their other ends, as long as one node is in the group.
     """
-    roots = components(pairs).withColumnRenamed("node", "name")
+    roots = components(pairs).withColumnRenamed("node", "name").hint("merge")
     x = nodes.select("name", "place").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-    first = x.groupBy("root").agg(F.min(F.struct("place", "name")).alias("first"))
+    first = x.groupBy("root").agg(F.min(F.struct("place", "name")).alias("first")).hint("merge")
     order = Window.partitionBy("root").orderBy("place", "name")
     return x.join(first, "root").select("name", F.col("first.name").alias("canonical"), (F.row_number().over(order) - 1).alias("turn"))
 
@@ -129,7 +129,8 @@ def merge_aliases(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> tuple
     Edges with an end that is no node go, too.
     """
     called = canonical(nodes, pairs)
-    x = nodes.join(called, "name")
+    # names are as many as nodes, and larger in memory than their tables: none of these joins is a broadcast
+    x = nodes.join(called.hint("merge"), "name")
     in_order = lambda value, *by: F.transform(F.array_sort(F.collect_list(F.struct(*by, value.alias("_value")))), lambda r: r["_value"])
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
     said = lambda c: F.coalesce(c, F.lit(""))
@@ -139,7 +140,7 @@ def merge_aliases(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> tuple
     )
     for end in ("source", "target"):
         names = called.select(F.col("name").alias(end), F.col("canonical").alias(f"_{end}"), F.col("turn").alias(f"_{end}_turn"))
-        edges = edges.join(names, end)
+        edges = edges.join(names.hint("merge"), end)
     low = F.col("_source") < F.col("_target")
     e = edges.where("_source <> _target").select(
         F.least("_source", "_target").alias("_a"), F.greatest("_source", "_target").alias("_b"),

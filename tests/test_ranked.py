@@ -112,3 +112,11 @@ def test_floor_of_whole_scores(spark, monkeypatch):
     got = retrieval.best_by_terms(rows, asked, "id", 3).orderBy("query", "rank").collect()
     assert [(r.query, r.hit, r.tksim) for r in got] == [(q, 7 + 200 * i, 1.0) for q in (1, 2, 3) for i in range(3)]
     assert [df.count() for df in kept if "hit" in df.columns] == [10]
+
+
+def test_merged_names_stay_out_of_the_driver(spark):
+    """No join of nodes or edges with the names of merged nodes is a broadcast, small as the tables are."""
+    nodes = spark.createDataFrame([("a", 0, "X", "of a", ["s1"]), ("b", 1, "Y", "of b", None)], "name string, place int, type string, description string, sources array<string>")
+    edges = spark.createDataFrame([("a", "b", 1.0, "a-b", ["k"], ["s"])], "source string, target string, weight double, description string, keywords array<string>, sources array<string>")
+    for df in graph.merge_aliases(nodes, edges, spark.createDataFrame([("b", "a")], "a string, b string")):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
