@@ -255,14 +255,17 @@ def dedup(docs: DataFrame, **options: int) -> DataFrame:
     table = lines(docs, **options)
     numbers = lambda which: F.collect_list(F.when(which, F.col("line_no").cast("int")))
     # of a repeated row, a line is lost if no copy keeps it
-    lost = table.groupBy("doc_id", "text_key").agg(
+    same = lambda i: {"doc": F.coalesce(i, F.lit(0)), "no_doc": i.isNull()}
+    lost = table.withColumns(same(F.col("doc_id"))).groupBy("doc", "no_doc", F.col("text_key").alias("key")).agg(
         F.count_if("kept").alias("left"), F.count_if(~F.col("kept")).alias("n"), F.array_except(numbers(~F.col("kept")), numbers(F.col("kept"))).alias("lost")
     ).where("n > 0").drop("n")
+    # texts are shuffled once, with equal keys for the join and the window
     text = F.col("text").cast("string")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
-    joined = keyed.join(lost, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
+    others = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("row")
+    keyed = docs.select(others, text.alias("text"), F.xxhash64(text).alias("key"), *[c.alias(k) for k, c in same(F.col("doc_id").cast("long")).items()])
+    joined = keyed.join(lost, ["doc", "no_doc", "key"], "left")
     # a row of a repeated pair (doc_id, text) that isn't the first has no lines left
-    turn = F.row_number().over(Window.partitionBy("doc", "key").orderBy(F.lit(0)))
+    turn = F.row_number().over(Window.partitionBy("doc", "no_doc", "key").orderBy(F.lit(0)))
     joined = joined.withColumn("turn", turn).where(F.col("lost").isNull() | ((F.col("turn") == 1) & (F.col("left") > 0))).withColumn("lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("lost"))
     cut = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))

@@ -119,6 +119,21 @@ def test_dedup(make):
     assert out == {1: (base + "\nunique one", len(base) + 11), 2: ("\nunique two", 11), 4: ("", 0), 5: (None, None), 6: ("tiny", 4)}
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_shuffle(make, monkeypatch):
+    """dedup shuffles each text once, for the join and the choice among repeated rows alike."""
+    docs = make([(1, "a b\nc"), (None, "x")])
+    found = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(0).cast("long").alias("line_no"), F.col("doc_id").isNull().alias("kept"))
+    monkeypatch.setattr(L, "lines", lambda docs, **options: found)
+    text = plan(L.dedup(docs))
+    assert "Exchange" not in text[text.index("Window") : text.index("Join")]
+    row = text[text.index("struct(") : text.index(" AS row")]
+    assert "n_chars" in row and "text" not in row
+
+
 def test_repeated_rows(make):
     """Of equal rows one stays, with its text but for lines that no copy keeps."""
     base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"

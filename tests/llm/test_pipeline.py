@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from quillstack.llm import secret_scans
 from quillstack.llm.common import load, materialize
@@ -80,3 +82,10 @@ def test_repeated_ids(spark):
     found = [sorted(map(str, C.near_duplicates(spark, spark.createDataFrame(x, "doc_id long, text string, source string").repartition(n), "").collect())) for x, n in ((rows, 1), (rows[::-1], 3))]
     assert found[0] == found[1]
     assert len(found[0]) == 4 and sum("one two" in x for x in found[0]) == 1
+
+
+def test_wide(spark):
+    """With many other columns, the optimizer's constraints don't double with each of them."""
+    rows = spark.createDataFrame([(1, "one two three four five six", "a")], "doc_id long, text string, source string")
+    docs = materialize(rows.withColumns({f"c{i}": F.lit("x") for i in range(12)}), "t")
+    assert C.near_duplicates(spark, docs, "")._jdf.queryExecution().optimizedPlan().constraints().size() < 500
