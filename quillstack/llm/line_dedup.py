@@ -138,13 +138,13 @@ def in_blocks(named: DataFrame, near: Column, how: str = "inner", block: int = B
 
 def sketches(texts: DataFrame) -> DataFrame:
     """(key, size, o0 .. o15): number of different shingles, and an odd sketch: bits that as many shingles as make an odd number fall on."""
-    units = texts.select("key", F.encode("line", "UTF-16BE").alias("units"))
+    # dealt by key once: both groupings then stay in their task
+    units = texts.repartition("key").select("key", F.encode("line", "UTF-16BE").alias("units"))
     each = units.select("key", "units", F.explode(F.sequence(F.lit(0), last_shingle(F.col("units")))).alias("i")).select("key", shingle_at(F.col("units"), F.col("i")).alias("h"))
-    sets = each.groupBy("key").agg(F.collect_set(F.shiftright("h", 32).cast("int")).alias("set"))
-    bits = sets.select("key", F.size("set").alias("size"), F.explode("set").alias("h")).withColumn("at", F.pmod("h", F.lit(64 * ODD)))
+    bits = each.select("key", F.shiftright("h", 32).cast("int").alias("h")).distinct().withColumn("at", F.pmod("h", F.lit(64 * ODD)))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))
-    lanes = [F.coalesce(F.bit_xor(F.when(F.floor(F.col("at") / 64) == i, bit)), F.lit(0).cast("long")).alias(f"o{i}") for i in range(ODD)]
-    return bits.groupBy("key").agg(F.max("size").alias("size"), *lanes)
+    lanes = [F.coalesce(F.bit_xor(F.when(F.shiftright("at", 6) == i, bit)), F.lit(0).cast("long")).alias(f"o{i}") for i in range(ODD)]
+    return bits.groupBy("key").agg(F.count("*").cast("int").alias("size"), *lanes)
 
 
 def hopeful(x: str, y: str, percent: int) -> Column:
@@ -200,7 +200,7 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     close = alike("x_", "y_", percent, agree)
     met = materialize(met, "buckets")
     met = in_blocks(met, close, "left_semi").select("bucket", *[F.col(f"x_{c}").alias(c) for c in met.columns if c not in ("bucket", "m")]).distinct()
-    met = materialize(met.join(met.groupBy("bucket").agg(F.count("*").alias("m")), "bucket"), "met")
+    met = materialize(met.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))), "met")
     texts = texts_of(docs, materialize(met.select("key").distinct(), "keys"))
     named = met.withColumn("led", F.lit(False))
     most = PAIRS_LEFT * met.count()

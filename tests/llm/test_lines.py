@@ -134,6 +134,15 @@ def test_one_shuffle(make, monkeypatch):
     assert "n_chars" in row and "text" not in row
 
 
+def test_sketch_sets(spark):
+    """Sketches deal lines by key once and collect no sets; their sizes are those of the sets of hashes."""
+    rows = [(k, "abcdefghij" * k + "xyz") for k in range(6)]
+    out = L.sketches(spark.createDataFrame(rows, "key long, line string"))
+    assert "collect_set" not in plan(out)
+    assert plan(out).count("Exchange") == 1
+    assert {r.key: r.size for r in out.collect()} == {k: len(shingles(x)) for k, x in rows}
+
+
 def test_repeated_rows(make):
     """Of equal rows one stays, with its text but for lines that no copy keeps."""
     base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"
