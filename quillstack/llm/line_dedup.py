@@ -17,6 +17,7 @@ distributed union-find; of each component the first line stays.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from random import Random
 
 from pyspark.sql import Column, DataFrame
@@ -39,7 +40,7 @@ BLOCK = 256
 #: Keys (8 bytes each) that may be broadcast; with more, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Shingles of a line hashed in one row.
-STEP = 4
+STEP = 8
 #: Longs of an odd sketch, and the standard errors beyond which it rules a pair out.
 ODD, ERRORS = 16, 3.0
 #: Pairs verified in a task, and tasks at most.
@@ -55,7 +56,9 @@ SEVENS, TOPS = sum(127 << 8 * i for i in range(7)), sum(128 << 8 * i for i in ra
 def line_rows(docs: DataFrame) -> DataFrame:
     """A row per \\n-separated line: doc_id, text_key, line_no, line; key is null for blank lines."""
     text = F.col("text").cast("string")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    # hashed below the generator: beside it, a text would be hashed again for each of its lines
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    d = d.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return d.withColumn("key", F.when(F.col("line").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("line")))
 
 
@@ -69,10 +72,16 @@ def last_shingle(units: Column, size: int = SHINGLE) -> Column:
     return F.greatest((F.octet_length(units) / 2).cast("int") - size, F.lit(0))
 
 
-def shingle_set(line: Column) -> Column:
-    """Array of the different shingle hashes of a line, which is encoded once."""
-    each = lambda units: F.transform(F.sequence(F.lit(0), last_shingle(units)), lambda i: shingle_at(units, i))
-    return F.transform(F.array(F.encode(line, "UTF-16BE")), lambda units: F.array_distinct(each(units)))[0]
+def shingle_set(line: Column, part: Callable[[Column], Column] = lambda h: h) -> Column:
+    """Array of the different shingle hashes of a line, or of a part of them.
+
+    The line is encoded once, as the element of an outer array. Inside, which
+    Spark interprets, only a start that is given is hashed; the different
+    hashes are taken outside, in compiled code.
+    """
+    starts = lambda units: F.sequence(F.lit(1), 2 * last_shingle(units) + 1, F.lit(2))
+    each = lambda units: F.transform(starts(units), lambda at: part(F.xxhash64(F.substr(units, at, F.lit(2 * SHINGLE)))))
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-16BE")), each)[0])
 
 
 def signatures(lines: DataFrame) -> DataFrame:
@@ -94,6 +103,15 @@ def packed_lanes(first: int) -> Column:
     return out
 
 
+def met_in_buckets(signed: DataFrame) -> DataFrame:
+    """A row per class and band that it shares: bucket and m, the number of classes there, in place of bands.
+
+    Rows are dealt by bucket once, for their counts and for themselves.
+    """
+    posted = signed.withColumn("bucket", F.explode("bands")).drop("bands")
+    return posted.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))).where("m > 1")
+
+
 def alike(x: str, y: str, percent: int, agree: int) -> Column:
     """Whether the lengths allow the similarity and enough of the 14 signature values agree; x and y name prefixes of columns."""
     col = lambda side, c: F.col(f"{side}{c}")
@@ -138,10 +156,9 @@ def in_blocks(named: DataFrame, near: Column, how: str = "inner", block: int = B
 
 def sketches(texts: DataFrame) -> DataFrame:
     """(key, size, o0 .. o15): number of different shingles, and an odd sketch: bits that as many shingles as make an odd number fall on."""
-    # dealt by key once: both groupings then stay in their task
-    units = texts.repartition("key").select("key", F.encode("line", "UTF-16BE").alias("units"))
-    each = units.select("key", "units", F.explode(F.sequence(F.lit(0), last_shingle(F.col("units")))).alias("i")).select("key", shingle_at(F.col("units"), F.col("i")).alias("h"))
-    bits = each.select("key", F.shiftright("h", 32).cast("int").alias("h")).distinct().withColumn("at", F.pmod("h", F.lit(64 * ODD)))
+    # dealt by key once: the grouping then stays in its task
+    bits = texts.repartition("key").select("key", F.explode(shingle_set(F.col("line"), lambda h: F.shiftright(h, 32).cast("int"))).alias("h"))
+    bits = bits.withColumn("at", F.pmod("h", F.lit(64 * ODD)))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))
     lanes = [F.coalesce(F.bit_xor(F.when(F.shiftright("at", 6) == i, bit)), F.lit(0).cast("long")).alias(f"o{i}") for i in range(ODD)]
     return bits.groupBy("key").agg(F.count("*").cast("int").alias("size"), *lanes)
@@ -193,9 +210,7 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     # the rank of a class: how often it occurs, then its key
     rank = F.shiftleft(F.least("copies", F.lit(2**30)), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(2**32 - 1)))
     signed = signed.select("key", "shingles", rank.alias("rank"), packed_lanes(0).alias("v0"), packed_lanes(7).alias("v1"), bands.alias("bands"))
-    posted = materialize(signed, "signatures").withColumn("bucket", F.explode("bands")).drop("bands")
-    buckets = posted.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    met = posted.join(buckets.hint("shuffle_hash"), "bucket").withColumn("component", F.col("key"))
+    met = met_in_buckets(signed).withColumn("component", F.col("key"))
     # classes with no candidate in a bucket leave it
     close = alike("x_", "y_", percent, agree)
     met = materialize(met, "buckets")

@@ -143,6 +143,32 @@ def test_sketch_sets(spark):
     assert {r.key: r.size for r in out.collect()} == {k: len(shingles(x)) for k, x in rows}
 
 
+def test_text_hashed_once(make):
+    """A text is hashed below the generator of its lines, not again for each line."""
+    text = plan(L.line_rows(make([(1, "a b\nc"), (2, None)])))
+    assert "xxhash64(text" not in text[: text.index("Generate")].replace(" ", "")
+    assert "xxhash64(text" in text[text.index("Generate") :].replace(" ", "")
+
+
+def test_sets_in_rows(spark):
+    """Different shingles are taken within a line's row, in compiled code: no grouping by shingle, no array_distinct in a lambda."""
+    rows = [(1, "abababababababababab"), (2, "short"), (3, "x\U0001f600" * 9), (4, "")]
+    df = spark.createDataFrame(rows, "key long, line string")
+    assert plan(L.sketches(df)).count("HashAggregate") == 2
+    sets = df.select("key", L.shingle_set(F.col("line")).alias("s"))
+    assert "array_distinct" not in plan(sets)[plan(sets).index("lambdafunction") :]
+    assert {r.key: (len(r.s), len(set(r.s))) for r in sets.collect()} == {k: (len(shingles(x)),) * 2 for k, x in rows}
+
+
+def test_buckets(spark):
+    """Classes that share a band with another, once a bucket, with one shuffle; equal to counting all pairs."""
+    rows = [(k, [k // 2, 100 + k % 3, 200 + k]) for k in range(7)]
+    out = L.met_in_buckets(spark.createDataFrame(rows, "key long, bands array<long>"))
+    assert plan(out).count("Exchange") == 1
+    count = {b: sum(b in bands for _, bands in rows) for _, bands in rows for b in bands}
+    assert sorted((r.bucket, r.key, r.m) for r in out.collect()) == sorted((b, k, count[b]) for k, bands in rows for b in bands if count[b] > 1)
+
+
 def test_repeated_rows(make):
     """Of equal rows one stays, with its text but for lines that no copy keeps."""
     base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"
