@@ -39,6 +39,8 @@ ROUNDS, PAIRS_LEFT, WORTH = 6, 64, 50
 BLOCK = 256
 #: Keys (8 bytes each) that may be broadcast; with more, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Characters of a blank line.
+BLANKS = " \t\n\x0b\f\r"
 #: Shingles of a line hashed in one row.
 STEP = 8
 #: Longs of an odd sketch, and the standard errors beyond which it rules a pair out.
@@ -59,7 +61,8 @@ def line_rows(docs: DataFrame) -> DataFrame:
     # hashed below the generator: beside it, a text would be hashed again for each of its lines
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     d = d.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return d.withColumn("key", F.when(F.col("line").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("line")))
+    # a pattern would be matched in a copy of each line in UTF-16
+    return d.withColumn("key", F.when(F.ltrim("line", F.lit(BLANKS)) != "", F.xxhash64("line")))
 
 
 def shingle_at(units: Column, i: Column, size: int = SHINGLE) -> Column:
@@ -90,8 +93,9 @@ def signatures(lines: DataFrame) -> DataFrame:
     # a row has STEP shingles, the last one again where there are fewer: minima and maxima stay the same
     each = units.select("key", "last", "units", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("i"))
     each = each.select("key", "last", "i", *[shingle_at(F.col("units"), F.least(F.col("i") + j, F.col("last"))).alias(f"h{j}") for j in range(STEP)])
-    flipped = lambda m: [F.col(f"h{j}").bitwiseXOR(F.lit(m)) for j in range(STEP)]
-    lanes = [f(g(*flipped(m))).alias(f"s{2 * i + j}") for i, m in enumerate(MASKS) for j, (f, g) in enumerate(((F.min, F.least), (F.max, F.greatest)))]
+    # the greatest by the least with the other bits flipped: no two aggregates share an expression, which Spark would hold in fields of an object
+    least = lambda m: F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(m)) for j in range(STEP)]))
+    lanes = [lane.alias(f"s{2 * i + j}") for i, m in enumerate(MASKS) for j, lane in enumerate((least(m), F.bitwise_not(least(~m))))]
     return each.groupBy("key").agg((F.max("last") + 1).alias("shingles"), F.count_if(F.col("i") == 0).alias("copies"), *lanes)
 
 
@@ -120,6 +124,17 @@ def alike(x: str, y: str, percent: int, agree: int) -> Column:
     return (200 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (14 - apart("v0") - apart("v1") >= agree)
 
 
+def without_unlike_twos(met: DataFrame, percent: int, agree: int) -> DataFrame:
+    """met without the buckets of two classes that aren't alike.
+
+    Rows lie by bucket already, so the other class of two is read off a window,
+    as the exclusive-or of both and its own, with neither a shuffle nor a join.
+    """
+    other = lambda c: F.bit_xor(c).over(Window.partitionBy("bucket")).bitwiseXOR(F.col(c))
+    seen = met.withColumns({f"y_{c}": other(c) for c in ("shingles", "v0", "v1")})
+    return seen.where((F.col("m") > 2) | alike("", "y_", percent, agree)).select(*met.columns)
+
+
 def ordered(df: DataFrame) -> DataFrame:
     """Pairs of x_key and y_key as distinct (a, b), a below b."""
     return df.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
@@ -210,7 +225,7 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     # the rank of a class: how often it occurs, then its key
     rank = F.shiftleft(F.least("copies", F.lit(2**30)), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(2**32 - 1)))
     signed = signed.select("key", "shingles", rank.alias("rank"), packed_lanes(0).alias("v0"), packed_lanes(7).alias("v1"), bands.alias("bands"))
-    met = met_in_buckets(signed).withColumn("component", F.col("key"))
+    met = without_unlike_twos(met_in_buckets(signed), percent, agree).withColumn("component", F.col("key"))
     # classes with no candidate in a bucket leave it
     close = alike("x_", "y_", percent, agree)
     met = materialize(met, "buckets")

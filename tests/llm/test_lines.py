@@ -169,6 +169,36 @@ def test_buckets(spark):
     assert sorted((r.bucket, r.key, r.m) for r in out.collect()) == sorted((b, k, count[b]) for k, bands in rows for b in bands if count[b] > 1)
 
 
+def test_twos(spark):
+    """Buckets of two unlike classes go by a window over the rows as they lie; others stay whole."""
+    near = lambda v: v ^ 0b1 ^ 0b1 << 8
+    v = 0x01_02_03_04_05_06_07
+    rows = [(1, 10, 100, v, v), (1, 11, 100, near(v), v), (2, 12, 100, v, v), (2, 13, 39, v, v), (3, 14, 100, v, 0), (3, 15, 100, ~v & L.SEVENS, L.SEVENS)]
+    rows += [(4, 16 + k, 100, v * k & L.SEVENS, k) for k in range(3)] + [(5, 20, 100, v, v)]
+    signed = spark.createDataFrame([(k, n, x, y, [b]) for b, k, n, x, y in rows], "key long, shingles int, v0 long, v1 long, bands array<long>")
+    out = L.without_unlike_twos(L.met_in_buckets(signed), 80, 7)
+    assert plan(out).count("Exchange") == 1 and "Join" not in plan(out)
+    assert sorted((r.bucket, r.key, r.m) for r in out.collect()) == [(1, 10, 2), (1, 11, 2), (4, 16, 3), (4, 17, 3), (4, 18, 3)]
+
+
+def test_lanes(spark):
+    """A signature holds the least and the greatest flipped hash of each mask; its aggregates share no expression."""
+    rows = [(k, "the quick brown fox jumps over"[: 4 + 3 * k]) for k in range(9)]
+    out = L.signatures(spark.createDataFrame(rows, "key long, line string"))
+    text = plan(out)
+    assert "greatest" not in text[text.index("partial_") :].split("]")[0]
+    hashes = {r.key: r.s for r in spark.createDataFrame(rows, "key long, line string").select("key", L.shingle_set(F.col("line")).alias("s")).collect()}
+    for r in out.collect():
+        assert [r[f"s{j}"] for j in range(14)] == [f(h ^ m for h in hashes[r.key]) for m in L.MASKS for f in (min, max)]
+
+
+def test_blank_lines(make):
+    """Lines of ASCII white space alone have no key, found without a pattern."""
+    docs = make([(1, " \t\x0b\f\r\n\n x\n\x1c\n\u00a0\n\u3000 \n\x00\nx ")])
+    assert "RLIKE" not in plan(L.line_rows(docs))
+    assert [r.key is None for r in L.line_rows(docs).orderBy("line_no").collect()] == [True, True, False, False, False, False, False, False]
+
+
 def test_repeated_rows(make):
     """Of equal rows one stays, with its text but for lines that no copy keeps."""
     base = "the quick brown fox jumps over the lazy dog near the old stone dam by the river side"
