@@ -135,6 +135,42 @@ def without_unlike_twos(met: DataFrame, percent: int, agree: int) -> DataFrame:
     return seen.where((F.col("m") > 2) | alike("", "y_", percent, agree)).select(*met.columns)
 
 
+def leader() -> Column:
+    """Of a bucket's classes that aren't led, the one of the greatest rank, as a struct (null if there is none), over a window by bucket."""
+    return F.max(F.when(~F.col("led"), F.struct("rank", *CLASS))).over(Window.partitionBy("bucket"))
+
+
+def with_leaders(named: DataFrame) -> DataFrame:
+    """Pairs x, y of a class that isn't led and the leader of its bucket, in different components; rows are dealt by bucket once."""
+    x, y = [F.col(c).alias(f"x_{c}") for c in CLASS], [F.col(f"lead.{c}").alias(f"y_{c}") for c in CLASS]
+    return named.withColumn("lead", leader()).where("not led and component <> lead.component").select(*x, *y)
+
+
+def still_open(named: DataFrame, merged: DataFrame, first: bool) -> DataFrame:
+    """named with the components of merged (key, component): classes of their leader's are led, and buckets of one component go.
+
+    The first leaders go, too, as they have met every class of their buckets.
+    Rows are dealt by key once and by bucket once, for all that is asked of a bucket.
+    """
+    now = named.withColumnRenamed("component", "own").join(merged, "key", "left").withColumn("component", F.coalesce("component", "own"))
+    now = now.select(*named.columns).withColumn("lead", leader())
+    if first:
+        now = now.where("key <> lead.key")
+    end = lambda f: f("component").over(Window.partitionBy("bucket"))
+    now = now.withColumns({"low": end(F.min), "high": end(F.max)}).where("low <> high")
+    return now.withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("lead.component"), F.lit(False))).select(*named.columns)
+
+
+def with_candidates(met: DataFrame, close: Column) -> DataFrame:
+    """The classes of met that are close to another one of their bucket, m counted anew.
+
+    Classes of buckets of two are, as without_unlike_twos leaves no others; they take no part in the join.
+    """
+    more = in_blocks(met.where("m > 2"), close, "left_semi").select("bucket", *[F.col(f"x_{c}").alias(c) for c in met.columns if c not in ("bucket", "m")]).distinct()
+    more = more.withColumn("m", F.count("*").over(Window.partitionBy("bucket")))
+    return met.where("m = 2").unionByName(more)
+
+
 def ordered(df: DataFrame) -> DataFrame:
     """Pairs of x_key and y_key as distinct (a, b), a below b."""
     return df.select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
@@ -170,18 +206,21 @@ def in_blocks(named: DataFrame, near: Column, how: str = "inner", block: int = B
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """(key, size, o0 .. o15): number of different shingles, and an odd sketch: bits that as many shingles as make an odd number fall on."""
+    """(key, size, odd): number of different shingles, and an odd sketch: bits that as many shingles as make an odd number fall on.
+
+    The sketch's longs are one array, which a join's condition reads only where its other parts hold.
+    """
     # dealt by key once: the grouping then stays in its task
     bits = texts.repartition("key").select("key", F.explode(shingle_set(F.col("line"), lambda h: F.shiftright(h, 32).cast("int"))).alias("h"))
     bits = bits.withColumn("at", F.pmod("h", F.lit(64 * ODD)))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))
-    lanes = [F.coalesce(F.bit_xor(F.when(F.shiftright("at", 6) == i, bit)), F.lit(0).cast("long")).alias(f"o{i}") for i in range(ODD)]
-    return bits.groupBy("key").agg(F.count("*").cast("int").alias("size"), *lanes)
+    lanes = [F.coalesce(F.bit_xor(F.when(F.shiftright("at", 6) == i, bit)), F.lit(0).cast("long")) for i in range(ODD)]
+    return bits.groupBy("key").agg(F.count("*").cast("int").alias("size"), F.array(*lanes).alias("odd"))
 
 
 def hopeful(x: str, y: str, percent: int) -> Column:
     """False where odd sketches differ in more bits, by ERRORS standard errors and one, than sets so similar can."""
-    odd = sum((F.bit_count(F.col(f"{x}o{i}").bitwiseXOR(F.col(f"{y}o{i}"))) for i in range(ODD)), F.lit(0))
+    odd = sum((F.bit_count(F.get(f"{x}odd", F.lit(i)).bitwiseXOR(F.get(f"{y}odd", F.lit(i)))) for i in range(ODD)), F.lit(0))
     bits = 64 * ODD
     most = (F.col(f"{x}size") + F.col(f"{y}size")) * (100 - percent) / (100 + percent)  # elements that only one has
     far = F.exp(-4 * most / bits)
@@ -228,31 +267,18 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     met = without_unlike_twos(met_in_buckets(signed), percent, agree).withColumn("component", F.col("key"))
     # classes with no candidate in a bucket leave it
     close = alike("x_", "y_", percent, agree)
-    met = materialize(met, "buckets")
-    met = in_blocks(met, close, "left_semi").select("bucket", *[F.col(f"x_{c}").alias(c) for c in met.columns if c not in ("bucket", "m")]).distinct()
-    met = materialize(met.withColumn("m", F.count("*").over(Window.partitionBy("bucket"))), "met")
+    met = materialize(with_candidates(materialize(met, "buckets"), close), "met")
     texts = texts_of(docs, materialize(met.select("key").distinct(), "keys"))
     named = met.withColumn("led", F.lit(False))
     most = PAIRS_LEFT * met.count()
     pairs = links = spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
         # those in no component of an earlier leader with the most frequent of them
-        left = named.where("not led")
-        tops = left.groupBy("bucket").agg(F.max("rank").alias("top"), F.count("*").alias("n")).where("n > 1").drop("n")
-        left = left.join(tops.hint("shuffle_hash"), "bucket")
-        leads = prefixed(left.where("rank = top").select("bucket", *CLASS), "y_", "bucket")
-        near = prefixed(left.select("bucket", *CLASS), "x_", "bucket").join(leads, "bucket").where("x_component <> y_component")
-        new = materialize(ordered(near.where(alike("x_", "y_", percent, agree))).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        near = with_leaders(named).where(close)
+        new = materialize(ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
         found = materialize(verified(new, texts, percent), "links")
         pairs, links = pairs.unionByName(new), links.unionByName(found)
-        merged = components(links).withColumnRenamed("node", "key")
-        named = named.drop("component").join(merged, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        heads = named.where("not led").join(tops, "bucket").where("rank = top").groupBy("bucket").agg(F.min("component").alias("head"))
-        if not turn:  # the first leaders have met every class of their buckets
-            named = named.join(tops, "bucket", "left").where("top is null or rank <> top").drop("top")
-        open_ = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        named = named.join(open_, "bucket").join(heads, "bucket", "left").withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("head"), F.lit(False)))
-        named = materialize(named.drop("head"), "named")
+        named = materialize(still_open(named, components(links).withColumnRenamed("node", "key"), not turn), "named")
         if pairs_left(named) <= most or found.count() * WORTH <= links.count():
             break
     # the rest: every pair of a bucket that is still apart and that neither signatures nor sketches rule out

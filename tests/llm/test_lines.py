@@ -236,3 +236,71 @@ def test_components(spark):
     assert {x.node: x.component for x in got} == want
     assert len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def named_rows(seed):
+    """Rows (bucket, key, shingles, v0, v1, component, led, rank, m) of classes in three buckets and one of a single class."""
+    r = Random(seed)
+    rows = [(b, k, 50, k, b, r.choice([k, k // 4]), r.random() < 0.3, (r.randrange(4) << 32) | k) for b in (1, 2, 3) for k in r.sample(range(40), 9)] + [(4, 7, 50, 7, 4, 7, False, 7)]
+    size = {b: sum(x[0] == b for x in rows) for b in (1, 2, 3, 4)}
+    return [(*x, size[x[0]]) for x in rows]
+
+
+NAMED = "bucket long, key long, shingles int, v0 long, v1 long, component long, led boolean, rank long, m long"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_leaders(spark, seed):
+    """Classes meet the leader of their bucket, and buckets of one component go, as a plain loop finds, with one shuffle by bucket."""
+    rows = named_rows(seed)
+    named = spark.createDataFrame(rows, NAMED)
+    merged = {k: k % 3 for k in range(0, 40, 2)}
+    links = spark.createDataFrame(list(merged.items()), "key long, component long")
+    lead = {}
+    for b, k, *_, component, led, rank, _m in rows:
+        if not led:
+            lead[b] = max(lead.get(b, (-1,)), (rank, k, component))
+    met = L.with_leaders(named)
+    assert plan(met).count("Exchange") == 1 and "Join" not in plan(met)
+    want = sorted((k, lead[b][1]) for b, k, *_, component, led, rank, _m in rows if not led and component != lead[b][2])
+    assert sorted((x.x_key, x.y_key) for x in met.collect()) == want
+    for first in (True, False):
+        now = {}
+        for b, k, *_, component, led, rank, _m in rows:
+            if not (first and b in lead and k == lead[b][1]):
+                now.setdefault(b, []).append((k, merged.get(k, component), led))
+        own = {x[1]: x[5] for x in rows if x[1] not in merged}
+        head = {b: merged.get(k, own.get(k, component)) for b, (_, k, component) in lead.items()}
+        want = sorted((b, k, c, led or head.get(b) == c) for b, x in now.items() if len({c for _, c, _ in x}) > 1 for k, c, led in x)
+        out = L.still_open(named, links, first)
+        assert plan(out).count("hashpartitioning(bucket") == 1
+        assert sorted((x.bucket, x.key, x.component, x.led) for x in out.collect()) == want
+
+
+def test_candidates(spark):
+    """Classes close to another one of their bucket, counted anew; buckets of two take no part in the join."""
+    rows = [(1, 10, 2), (1, 11, 2), (2, 12, 4), (2, 13, 4), (2, 30, 4), (2, 60, 4), (3, 14, 3), (3, 34, 3), (3, 54, 3)]
+    met = spark.createDataFrame([(b, k, 50, k, k, k, k, m) for b, k, m in rows], "bucket long, key long, shingles int, v0 long, v1 long, component long, rank long, m long")
+    out = L.with_candidates(met, F.abs(F.col("x_key") - F.col("y_key")) < 5)
+    assert out.columns == met.columns
+    assert sorted((x.bucket, x.key, x.m) for x in out.collect()) == [(1, 10, 2), (1, 11, 2), (2, 12, 2), (2, 13, 2)]
+    text = plan(out)
+    assert "(m" in text[text.index("Join") :] and "> 2)" in text
+
+
+def test_rounds_deal_once(make, monkeypatch):
+    """A round deals the rows of buckets once for its pairs and once for what is left of them."""
+    plans, write = [], L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df, name: plans.append((name, plan(df))) or write(df, name))
+    assert L.lines(make(families(5))).where("kept").count() == 5
+    names = [name for name, _ in plans]
+    first = names.index("pairs")
+    assert plans[first][1].count("hashpartitioning(bucket") == 1
+    assert [text.count("hashpartitioning(bucket") for name, text in plans if name == "named"] == [1] * names.count("named")
+
+
+def test_sketch_is_one_column(spark):
+    """A sketch is one array of longs, so that a join's condition need not read them all for each pair."""
+    out = L.sketches(spark.createDataFrame([(1, "the quick brown fox")], "key long, line string"))
+    assert out.columns == ["key", "size", "odd"]
+    assert [len(x.odd) for x in out.collect()] == [L.ODD]
