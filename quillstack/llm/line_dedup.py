@@ -75,16 +75,20 @@ def last_shingle(units: Column, size: int = SHINGLE) -> Column:
     return F.greatest((F.octet_length(units) / 2).cast("int") - size, F.lit(0))
 
 
-def shingle_set(line: Column, part: Callable[[Column], Column] = lambda h: h) -> Column:
-    """Array of the different shingle hashes of a line, or of a part of them.
+def shingle_hashes(line: Column, part: Callable[[Column], Column] = lambda h: h) -> Column:
+    """Array of the shingle hashes of a line, or of a part of them, repeats included.
 
     The line is encoded once, as the element of an outer array. Inside, which
-    Spark interprets, only a start that is given is hashed; the different
-    hashes are taken outside, in compiled code.
+    Spark interprets, only a start that is given is hashed.
     """
     starts = lambda units: F.sequence(F.lit(1), 2 * last_shingle(units) + 1, F.lit(2))
     each = lambda units: F.transform(starts(units), lambda at: part(F.xxhash64(F.substr(units, at, F.lit(2 * SHINGLE)))))
-    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-16BE")), each)[0])
+    return F.transform(F.array(F.encode(line, "UTF-16BE")), each)[0]
+
+
+def shingle_set(line: Column, part: Callable[[Column], Column] = lambda h: h) -> Column:
+    """Array of the different shingle hashes of a line, or of a part of them; they are taken in compiled code."""
+    return F.array_distinct(shingle_hashes(line, part))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
@@ -161,6 +165,15 @@ def still_open(named: DataFrame, merged: DataFrame, first: bool) -> DataFrame:
     return now.withColumn("led", F.col("led") | F.coalesce(F.col("component") == F.col("lead.component"), F.lit(False))).select(*named.columns)
 
 
+def joined_by(merged: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (key, component) that links (a, b) make of those of merged; only these, not their members, are linked anew."""
+    for end in ("a", "b"):
+        links = links.join(prefixed(merged, "of_").withColumnRenamed("of_key", end), end, "left").withColumn(end, F.coalesce("of_component", end)).drop("of_component")
+    new = components(links).select(F.col("node").alias("component"), F.col("component").alias("low"))
+    known = merged.join(new, "component", "full")
+    return known.select(F.coalesce("key", "component").alias("key"), F.coalesce("low", "component").alias("component"))
+
+
 def with_candidates(met: DataFrame, close: Column) -> DataFrame:
     """The classes of met that are close to another one of their bucket, m counted anew.
 
@@ -214,7 +227,7 @@ def sketches(texts: DataFrame) -> DataFrame:
     bits = texts.repartition("key").select("key", F.explode(shingle_set(F.col("line"), lambda h: F.shiftright(h, 32).cast("int"))).alias("h"))
     bits = bits.withColumn("at", F.pmod("h", F.lit(64 * ODD)))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))
-    lanes = [F.coalesce(F.bit_xor(F.when(F.shiftright("at", 6) == i, bit)), F.lit(0).cast("long")) for i in range(ODD)]
+    lanes = [F.bit_xor(F.when(F.shiftright("at", 6) == i, bit).otherwise(F.lit(0).cast("long"))) for i in range(ODD)]
     return bits.groupBy("key").agg(F.count("*").cast("int").alias("size"), F.array(*lanes).alias("odd"))
 
 
@@ -231,15 +244,18 @@ def hopeful(x: str, y: str, percent: int) -> Column:
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough, by exact Jaccard similarity.
 
-    A row holds the two sets of its pair, and nothing else is kept in memory.
+    A row holds the hashes of its pair, and nothing else is kept in memory. A
+    set is no larger than its line has shingles, so where these numbers suffice
+    for the similarity, the different hashes of both aren't taken.
     """
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
     parts = max(partitions(pairs.sparkSession), min(-(-pairs.count() // PAIRS), MOST_PARTS))
-    sets = both.repartition(parts, "a", "b").select("a", "b", shingle_set(F.col("la")).alias("sa"), shingle_set(F.col("lb")).alias("sb"))
-    sizes = sets.select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("both"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
-    similar = 100 * F.col("common") >= percent * (F.col("both") - F.col("common"))
+    hashes = both.repartition(parts, "a", "b").select("a", "b", shingle_hashes(F.col("la")).alias("ha"), shingle_hashes(F.col("lb")).alias("hb"))
+    hashes = hashes.withColumn("common", F.size(F.array_intersect("ha", "hb")).cast("long"))
+    enough = lambda union: 100 * F.col("common") >= percent * union
+    similar = F.when(enough(F.size("ha") + F.size("hb") - F.col("common")), True).otherwise(enough(F.size(F.array_union("ha", "hb")).cast("long")))
     # unfolded, as a plain filter would be computed before the rows are dealt to tasks
-    return sizes.select("a", "b", F.explode(F.array(similar)).alias("similar")).where("similar").select("a", "b")
+    return hashes.select("a", "b", F.explode(F.array(similar)).alias("similar")).where("similar").select("a", "b")
 
 
 def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -278,7 +294,8 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
         new = materialize(ordered(near).join(pairs, ["a", "b"], "left_anti"), "pairs")
         found = materialize(verified(new, texts, percent), "links")
         pairs, links = pairs.unionByName(new), links.unionByName(found)
-        named = materialize(still_open(named, components(links).withColumnRenamed("node", "key"), not turn), "named")
+        merged = components(links).withColumnRenamed("node", "key")
+        named = materialize(still_open(named, merged, not turn), "named")
         if pairs_left(named) <= most or found.count() * WORTH <= links.count():
             break
     # the rest: every pair of a bucket that is still apart and that neither signatures nor sketches rule out
@@ -288,10 +305,9 @@ def lines(docs: DataFrame, *, percent: int = PERCENT, agree: int = AGREE) -> Dat
     rest = rest.join(met_by, ["bucket", "key"], "left_semi").join(drawn, "key")
     more = ordered(in_blocks(rest, close & hopeful("x_", "y_", percent))).join(pairs, ["a", "b"], "left_anti")
     more = materialize(more, "pairs")
-    merged = components(links.unionByName(materialize(verified(more, texts, percent), "links")))
+    merged = joined_by(merged, materialize(verified(more, texts, percent), "links"))
     # the first line of each class, then of each component of several classes
     first = filled.groupBy("key").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
-    merged = merged.withColumnRenamed("node", "key")
     firsts = merged.join(first, "key").groupBy("component").agg(F.min("first").alias("foremost"))
     named = filled.join(first, "key").join(merged.join(firsts, "component").select("key", "foremost"), "key", "left")
     named = named.withColumn("first", F.coalesce("foremost", "first"))

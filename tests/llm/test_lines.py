@@ -304,3 +304,29 @@ def test_sketch_is_one_column(spark):
     out = L.sketches(spark.createDataFrame([(1, "the quick brown fox")], "key long, line string"))
     assert out.columns == ["key", "size", "odd"]
     assert [len(x.odd) for x in out.collect()] == [L.ODD]
+
+
+def test_joined_by(spark):
+    """Components linked by further pairs are those of all pairs at once."""
+    r = Random(3)
+    for n in (0, 12, 60):
+        old = [(r.randrange(80), r.randrange(80)) for _ in range(40)]
+        new = [(r.randrange(120), r.randrange(120)) for _ in range(n)]
+        some = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+        merged = components(some(old)).withColumnRenamed("node", "key")
+        got = L.joined_by(merged, some(new)).collect()
+        want = {x.node: x.component for x in components(some(old + new)).collect()}
+        assert {x.key: x.component for x in got} == want and len(got) == len(want)
+
+
+def test_repeated_shingles(spark):
+    """Lines that repeat shingles are judged by their sets, as far as the numbers of shingles don't suffice; no set is taken before."""
+    r = Random(4)
+    lines = ["ab" * n + tail for n in (6, 30, 90) for tail in ("", "cdefgh", "xyz")] + ["".join(r.choice("ab") for _ in range(40)) for _ in range(6)]
+    lines += [x[:-1] for x in lines] + ["a long line of words that has no repeated shingle at all", "a long line of words that has no repeated shingle at al"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "key long, line string")
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))]
+    out = L.verified(spark.createDataFrame(pairs, "a long, b long"), texts, 80)
+    assert "array_distinct" not in plan(out)
+    sets = [shingles(x) for x in lines]
+    assert sorted(map(tuple, out.collect())) == [(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
