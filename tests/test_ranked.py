@@ -120,3 +120,32 @@ def test_merged_names_stay_out_of_the_driver(spark):
     edges = spark.createDataFrame([("a", "b", 1.0, "a-b", ["k"], ["s"])], "source string, target string, weight double, description string, keywords array<string>, sources array<string>")
     for df in graph.merge_aliases(nodes, edges, spark.createDataFrame([("b", "a")], "a string, b string")):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_common_terms_never_meet(spark, monkeypatch):
+    """Pairs of a query and a row aren't joined, so they are on no disk; the same in one block or many, for arrays of terms, repeated keys and weights that aren't whole."""
+    rng = random.Random(9)
+    vocabulary = [f"t{i}" for i in range(40)]
+    bags = [(rng.randrange(150), rng.sample(vocabulary, min(40, int(rng.paretovariate(0.5))))) for _ in range(400)] + [(None, ["t1"]), (7, []), (8, None), (9, [None, "t2"])]
+    weights = [0.1, 0.2, 0.3, 0.7]
+    queries = {q: {t: rng.choice(weights) for t in rng.sample([*vocabulary, "zz"], rng.randint(1, 9))} for q in range(40)}
+    queries[90] = {"zz": 1.0}
+    held: dict = {}
+    for i, ts in bags:
+        held.setdefault(i, set()).update(ts or [])
+    want = set()
+    for q, ts in queries.items():
+        scores = {i: sum(w for t, w in ts.items() if t in held[i]) / sum(ts.values()) for i in held if i is not None}
+        best = sorted((-round(s, 12), i) for i, s in scores.items() if s > 0)[:3]
+        want |= {(q, i, r + 1, round(-s, 9)) for r, (s, i) in enumerate(best)}
+    rows = spark.createDataFrame(bags, "id long, terms array<string>")
+    asked = spark.createDataFrame([(q, t, w) for q, ts in queries.items() for t, w in ts.items()], "query long, term string, weight double")
+    found = lambda df: {(r.query, r.hit, r["rank"], round(r.tksim, 9)) for r in df.collect()}
+    for sizes in ((2_000_000, 8_000_000, 2_000_000, 4_000_000), (60, 700, 1, 1), (60, 700, 300, 20_000)):
+        for name, n in zip(("BLOCK_ASKED", "BLOCK_TERMS", "CELLS", "DENSE"), sizes, strict=True):
+            monkeypatch.setattr(retrieval, name, n)
+        assert found(retrieval.best_by_terms(rows, asked, "id", 3)) == want
+    plans = []
+    monkeypatch.setattr(retrieval, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df.localCheckpoint())
+    assert found(retrieval.best_by_terms(rows.select("id", F.explode("terms").alias("term")).distinct(), asked, "id", 3)) == want
+    assert not any("Join" in p for p in plans)
