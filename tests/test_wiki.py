@@ -69,3 +69,13 @@ def test_link_pages(spark):
 
     whole = df.select("name", T.linkify(F.coalesce("markdown", F.lit("")), F.array(*map(F.lit, order)), F.col("name")).alias("markdown"))
     assert sorted(tuple(r) for r in wiki.link_pages(df, names).collect()) == sorted(tuple(r) for r in whole.collect())
+
+
+def test_names_that_may_match_are_no_rows(spark):
+    """Names whose words are in every page, though none holds them, meet no page; those that are held become links."""
+    pages = spark.range(200).selectExpr("concat('doc ', id) name", "concat('Of the dam ', id, ' and the wall ', id, '.') markdown")
+    names = spark.range(400).selectExpr("explode(array(concat('the wall and the dam ', id), concat('dam ', id, ' and'))) name")
+    linked = wiki.link_pages(pages, names)
+    assert {tuple(r) for r in linked.collect()} == {(f"doc {i}", f"Of the [[dam {i} and]] the wall {i}.") for i in range(200)}
+    # pairs found with their names, these with the number of their parts, and pages with what they hold
+    assert linked._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
